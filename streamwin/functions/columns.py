@@ -21,9 +21,15 @@ def cast_or_null(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items()})
 
 
-def arrival_delay(event_time: str = "event_time", as_of: Column | None = None) -> Column:
-    """Whole seconds between an event and ``as_of`` (default: the query's start)."""
-    now = F.current_timestamp() if as_of is None else as_of
+def arrival_delay(event_time: str = "event_time", as_of: Column | str | None = None) -> Column:
+    """Whole seconds between an event and ``as_of``, a column or the text of a time.
+
+    The default is the time at which the query starts.
+    """
+    if as_of is None:
+        now = F.current_timestamp()
+    else:
+        now = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
     return F.unix_timestamp(now) - F.unix_timestamp(F.col(event_time))
 
 

@@ -27,7 +27,7 @@ _BUCKET_SECONDS = 3600
 def delay_stats(
     events: DataFrame,
     *,
-    as_of: Column | None = None,
+    as_of: Column | str | None = None,
     event_time: str = "event_time",
     approximate: bool = False,
     accuracy: int = 10_000,
@@ -119,7 +119,7 @@ def estimate_delay(
     *,
     max_delay: str = MAX_DELAY,
     min_delay: str = MIN_DELAY,
-    as_of: Column | None = None,
+    as_of: Column | str | None = None,
     event_time: str = "event_time",
     approximate: bool = False,
     unit_compat: bool = False,
@@ -146,7 +146,7 @@ def adaptive_sliding(
     max_event_delay: str = MAX_DELAY,
     min_event_delay: str = MIN_DELAY,
     history: DataFrame | None = None,
-    as_of: Column | None = None,
+    as_of: Column | str | None = None,
     approximate: bool = False,
     unit_compat: bool = False,
     measures: Measures = FULL,

@@ -118,13 +118,12 @@ def multi_granularity(
         raise ValueError("at least one granularity is needed")
     if delay is None:
         delay = micros_interval(2 * max(widths.values()))
-    marked = events.withWatermark(event_time, delay)
     if single_scan is None:
         single_scan = not events.isStreaming
     if not single_scan:
         parts = [
             tagged(
-                tumbling(marked, text, delay=delay, keys=keys, measures=measures, event_time=event_time),
+                tumbling(events, text, delay=delay, keys=keys, measures=measures, event_time=event_time),
                 granularity=text,
             )
             for text in granularities
@@ -135,6 +134,7 @@ def multi_granularity(
         widest = max(widths.values())
         if any(widest % width for width in widths.values()):
             raise ValueError("on a stream every granularity has to divide the widest one")
+        marked = events.withWatermark(event_time, delay)
         copies = marked.withColumn("_slot", F.explode(_slots(F.col(event_time), widths)))
         grouped = copies.groupBy(F.window(event_time, micros_interval(widest)).alias("_outer"), "_slot", *keys)
         rows = grouped.agg(*measures.direct())

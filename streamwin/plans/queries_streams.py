@@ -18,10 +18,12 @@ from .sql import BOUNDS, COUNT, FULL_SQL, PAIR_SQL, closed_sql, session_sql, sli
 
 
 def stream_of(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table as a stream."""
-    path = f"{folder}/events.parquet"
-    raw = stream_events(spark, path, spark.read.parquet(path).schema, file_format="parquet")
-    return market_view(raw)
+    """The event table as a stream, whether it is one file or a folder of files.
+
+    A stream of files takes a single file only by way of a pattern.
+    """
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    return market_view(stream_events(spark, f"{folder}/events.parque[t]", schema, file_format="parquet"))
 
 
 def _through_files(build: Callable[[DataFrame], DataFrame]):

@@ -35,10 +35,6 @@ def _over_events(build):
     return lambda spark, folder: zoneless(build(events_of(spark, folder)))
 
 
-def _instant(text: str):
-    return F.lit(text).cast("timestamp")
-
-
 def _minutes_sql(p95: str, low: int, high: int, per_minute: int = 60, assumed: int = 300) -> str:
     known = f"coalesce(nullif({p95}, 0), {assumed})"
     return f"least(greatest(cast(trunc({known} / {per_minute} * 1.2) as bigint), {low}), {high})"
@@ -90,13 +86,13 @@ select user_id, min(event_time) as session_start, max(until) as session_end, {FU
 
 
 def _delay_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return op.delay_stats(events_of(spark, folder), as_of=_instant(LATE_AS_OF), suffix="ms")
+    return op.delay_stats(events_of(spark, folder), as_of=LATE_AS_OF, suffix="ms")
 
 
 def _adaptive_delays(spark: SparkSession, folder: str) -> DataFrame:
     """The estimate between bounds that clamp it, bounds that do not, and in recorded units."""
     p95 = F.col("p95_delay_s")
-    return op.delay_stats(events_of(spark, folder), as_of=_instant(LATE_AS_OF)).select(
+    return op.delay_stats(events_of(spark, folder), as_of=LATE_AS_OF).select(
         p95,
         op.delay_minutes(p95).alias("clamped_minutes"),
         op.delay_minutes(p95, max_delay="2000 hours").alias("free_minutes"),
@@ -116,7 +112,7 @@ from q
 
 def _arrival_delays(events: DataFrame) -> DataFrame:
     known = with_event_time(events)
-    return known.select("user_id", "event_time", arrival_delay(as_of=_instant(LATE_AS_OF)).alias("delay_s"))
+    return known.select("user_id", "event_time", arrival_delay(as_of=LATE_AS_OF).alias("delay_s"))
 
 
 QUERIES = {
@@ -131,7 +127,7 @@ QUERIES = {
     "window_hybrid_union": _over_events(lambda ev: op.hybrid(ev, measures=FULL_EXACT, shared=False)),
     "window_multi": _over_events(lambda ev: op.multi_granularity(ev, measures=FULL_EXACT)),
     "window_multi_union": _over_events(lambda ev: op.multi_granularity(ev, measures=FULL_EXACT, single_scan=False)),
-    "window_adaptive": _over_events(lambda ev: op.adaptive_sliding(ev, as_of=_instant(AS_OF), measures=FULL_EXACT)),
+    "window_adaptive": _over_events(lambda ev: op.adaptive_sliding(ev, as_of=AS_OF, measures=FULL_EXACT)),
     "window_adaptive_5min": _over_events(
         lambda ev: op.adaptive_sliding(
             ev,
@@ -139,7 +135,7 @@ QUERIES = {
             "1 minute",
             max_event_delay="2000 hours",
             min_event_delay="30 seconds",
-            as_of=_instant(AS_OF),
+            as_of=AS_OF,
             measures=FULL_EXACT,
         )
     ),
