@@ -21,7 +21,7 @@ MIN_DELAY = "1 minute"
 _COMPAT_UNITS_PER_MINUTE = 60_000
 _COMPAT_ASSUMED = 300_000
 
-_BUCKET_SECONDS = 3600
+_BUCKET_SECONDS = 86_400
 
 
 def delay_stats(
@@ -40,10 +40,10 @@ def delay_stats(
     values stay seconds.
 
     The exact percentile is found in two narrow passes over the event time:
-    hourly counts tell which hours hold the ranks wanted, and only the rows of
-    those (at most two) hours are then counted per second. Neither pass brings
-    the distinct delays together in one task. ``approximate`` uses a sketch in
-    a single pass instead.
+    counts per day of delay tell which days hold the ranks wanted, and only the
+    rows of those (at most two) days are then counted per second. What meets in
+    one task is one row per day of delay, then 86,400 seconds at most, however
+    many events there are. ``approximate`` uses a sketch in a single pass.
     """
     names = [f"{part}_delay_{suffix}" for part in ("max", "avg", "p95")]
     delays = with_event_time(events, event_time).select(arrival_delay(event_time, as_of).alias("_delay"))
@@ -52,17 +52,17 @@ def delay_stats(
         return delays.agg(F.max("_delay").alias(names[0]), F.avg("_delay").alias(names[1]), p95.alias(names[2]))
 
     bucketed = delays.withColumn("_bucket", F.floor(F.col("_delay") / _BUCKET_SECONDS))
-    hours = bucketed.groupBy("_bucket").agg(
+    days = bucketed.groupBy("_bucket").agg(
         F.count("*").alias("_n"),
         F.max("_delay").alias("_max"),
         F.sum("_delay").cast("decimal(38,0)").alias("_sum"),
     )
-    # One row per hour of delay from here on, so the running count is small.
+    # One row per day of delay from here on, so the running count is small.
     everything = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("_n").over(everything)
     rank = (total - 1) * F.lit(PERCENTILE)
-    ranked = hours.select(
+    ranked = days.select(
         "_bucket",
         (F.sum("_n").over(so_far) - F.col("_n")).alias("_before"),
         F.sum("_n").over(so_far).alias("_through"),
@@ -73,7 +73,7 @@ def delay_stats(
     low, high = F.floor("_rank"), F.ceil("_rank")
     hit = ranked.filter((F.col("_before") <= high) & (F.col("_through") > low))
 
-    # ``hit`` has at most two rows: the hours holding the two neighbouring ranks.
+    # ``hit`` has at most two rows: the days holding the two neighbouring ranks.
     seconds = bucketed.join(F.broadcast(hit), "_bucket").groupBy("_bucket", "_delay").agg(
         F.count("*").alias("_n"),
         *[F.first(name).alias(name) for name in ("_before", "_rank", "_max", "_avg")],

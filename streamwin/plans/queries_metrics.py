@@ -10,13 +10,13 @@ from ..sources import read_metrics, write_metrics
 from .queries_windows import zoneless
 from .scratch import scratch_folder
 
-# Whole-number readings add up exactly in any order: cents, ``k`` and the user's number.
-_CENTS = F.round(F.col("value") * 100)
-_K = F.get_json_object("props", "$.k").cast("double")
-
 
 def samples_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Four samples per event, with its type as the window type."""
+    """Four samples per event, with its type as the window type.
+
+    The readings are whole numbers (cents, ``k`` and the user's number), which
+    add up exactly in any order.
+    """
     events = spark.read.parquet(f"{folder}/events.parquet")
 
     def sample(metric: str, value, label):
@@ -24,8 +24,8 @@ def samples_of(spark: SparkSession, folder: str) -> DataFrame:
 
     none, number = F.lit(None).cast("string"), F.lit(None).cast("double")
     samples = F.array(
-        sample("latency", _CENTS, none),
-        sample("throughput", _K, none),
+        sample("latency", F.round(F.col("value") * 100), none),
+        sample("throughput", F.get_json_object("props", "$.k").cast("double"), none),
         sample("memory", F.col("user_id").cast("double"), none),
         sample("watermark_delays", number, F.concat(F.col("user_id").cast("string"), F.lit(" minutes"))),
     )

@@ -10,8 +10,7 @@ from .. import operators as op
 from ..functions.measures import COUNT_ONLY
 from ..schema import EVENT_SCHEMA, market_view
 from ..sources import stream_events, write_events
-from ..streaming import AVAILABLE_NOW, finish, session_conf, start_files, start_jdbc
-from ..streaming.runs import SCALE_CONF
+from ..streaming import AVAILABLE_NOW, finish, start_files, start_jdbc
 from .queries_windows import FULL_EXACT, PAIR_EXACT, events_of, hybrid_sql, multi_sql, zoneless
 from .scratch import scratch_folder
 from .sql import BOUNDS, COUNT, FULL_SQL, PAIR_SQL, closed_sql, session_sql, sliding_sql, tumbling_sql
@@ -41,14 +40,13 @@ def _through_files(build: Callable[[DataFrame], DataFrame]):
 
 def _stored(spark: SparkSession, result: DataFrame) -> DataFrame:
     place = scratch_folder(spark, "stream")
-    with session_conf(spark, SCALE_CONF):
-        running = start_files(
-            result,
-            "result",
-            output_root=f"{place}/out",
-            checkpoint_root=f"{place}/checkpoint",
-            trigger=AVAILABLE_NOW,
-        )
+    running = start_files(
+        result,
+        "result",
+        output_root=f"{place}/out",
+        checkpoint_root=f"{place}/checkpoint",
+        trigger=AVAILABLE_NOW,
+    )
     finish(running)
     return spark.read.schema(result.schema).parquet(f"{place}/out/result")
 
@@ -69,15 +67,14 @@ def _per_batch_table(spark: SparkSession, folder: str) -> DataFrame:
     def save(batch: DataFrame, options: dict[str, str]) -> None:
         batch.write.mode("append").parquet(f"{place}/{options['dbtable']}")
 
-    with session_conf(spark, SCALE_CONF):
-        running = start_jdbc(
-            result,
-            "session",
-            options={},
-            checkpoint_root=f"{place}/checkpoint",
-            trigger=AVAILABLE_NOW,
-            save=save,
-        )
+    running = start_jdbc(
+        result,
+        "session",
+        options={},
+        checkpoint_root=f"{place}/checkpoint",
+        trigger=AVAILABLE_NOW,
+        save=save,
+    )
     finish(running)
     return zoneless(spark.read.parquet(f"{place}/session_aggregations").select(result.columns))
 

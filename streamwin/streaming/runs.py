@@ -9,8 +9,9 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-# State beyond memory goes to RocksDB with a changelog, and events of a session
-# that meet in one task are merged before the shuffle.
+# State lives in RocksDB, which outgrows memory and checkpoints only changes, and
+# events of one session that meet in a task are merged before the shuffle, so a
+# busy key sends its sessions and not its events.
 SCALE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -37,8 +38,12 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 
 
 def start_at_scale(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
-    """Start a writer under :data:`SCALE_CONF`."""
-    with session_conf(spark, SCALE_CONF):
+    """Start a writer under :data:`SCALE_CONF`, except where the session has its own setting.
+
+    A query that goes on from a checkpoint keeps the state store it began with.
+    """
+    unset = {name: value for name, value in SCALE_CONF.items() if spark.conf.get(name, None) is None}
+    with session_conf(spark, unset):
         return writer.start()
 
 

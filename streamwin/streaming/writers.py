@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from .runs import start_at_scale
+
 # Trigger intervals and the places used when none are named.
 BUILDER_TRIGGER = "10 seconds"
 FILE_TRIGGER = "30 seconds"
@@ -78,7 +80,7 @@ def start_files(
     writer = writer.option("checkpointLocation", f"{checkpoint_root}/{window_type}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _triggered(writer, trigger).start()
+    return start_at_scale(result.sparkSession, _triggered(writer, trigger))
 
 
 def start_delta(
@@ -138,7 +140,7 @@ def start_jdbc(
     write = jdbc_batch_writer(options, f"{window_type}_aggregations", clear_batch, save)
     writer = result.writeStream.outputMode("append").foreachBatch(write)
     writer = writer.option("checkpointLocation", f"{checkpoint_root}/{window_type}")
-    return _triggered(writer, trigger).start()
+    return start_at_scale(result.sparkSession, _triggered(writer, trigger))
 
 
 def _save_jdbc(batch: DataFrame, options: dict[str, str]) -> None:
