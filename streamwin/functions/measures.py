@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 class Measures:
     """A choice of measures, reported in the order of ``names``.
 
-    ``price_scale`` sums prices as ``decimal(18, price_scale)``: the average
-    then no longer depends on the order in which partitions are added up, and
-    repeated runs give the same bits. Left at ``None``, prices are averaged as
-    doubles.
+    ``price_scale`` is the number of decimals prices have. Given, they are
+    summed as whole multiples of the last decimal: the average then no longer
+    depends on the order in which partitions are added up, and repeated runs
+    give the same bits. Left at ``None``, prices are averaged as doubles.
     """
 
     names: tuple[str, ...]
@@ -39,7 +39,7 @@ class Measures:
             "avg_price": lambda: (
                 F.avg(self.price)
                 if self.price_scale is None
-                else _ratio(F.sum(self._addend()), F.count(self.price))
+                else self._average(F.sum(self._addend()), F.count(self.price))
             ),
             "max_price": lambda: F.max(self.price),
             "min_price": lambda: F.min(self.price),
@@ -63,7 +63,7 @@ class Measures:
         forms = {
             "event_count": lambda: F.sum("_rows"),
             "total_volume": lambda: F.sum("_volume"),
-            "avg_price": lambda: _ratio(F.sum("_price_sum"), F.sum("_priced")),
+            "avg_price": lambda: self._average(F.sum("_price_sum"), F.sum("_priced")),
             "max_price": lambda: F.max("_price_max"),
             "min_price": lambda: F.min("_price_min"),
         }
@@ -71,11 +71,11 @@ class Measures:
 
     def _addend(self) -> Column:
         price = F.col(self.price)
-        return price if self.price_scale is None else price.cast(f"decimal(18,{self.price_scale})")
+        return price if self.price_scale is None else F.rint(price * 10**self.price_scale).cast("bigint")
 
-
-def _ratio(total: Column, count: Column) -> Column:
-    return total.cast("double") / F.nullif(count, F.lit(0))
+    def _average(self, total: Column, count: Column) -> Column:
+        sum_of_prices = total if self.price_scale is None else total.cast("double") / float(10**self.price_scale)
+        return sum_of_prices / F.nullif(count, F.lit(0))
 
 
 # The bundles and the order of their columns.

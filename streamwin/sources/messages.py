@@ -58,9 +58,13 @@ def decode(
 
     A message that is not JSON, or a field of the wrong type, gives nulls.
     ``casts`` converts fields that arrive as text.
+
+    The struct is spread by a generator. Spark moves filters on the fields of a
+    plain ``data.*`` below the parsing, for instance the one for missing event
+    times, and would then parse each message again for every such filter.
     """
-    parsed = messages.select(F.from_json(F.col(value).cast("string"), schema).alias("data"))
-    return cast_or_null(parsed.select("data.*"), casts or {})
+    parsed = F.from_json(F.col(value).cast("string"), schema)
+    return cast_or_null(messages.select(F.inline(F.array(parsed))), casts or {})
 
 
 def decode_text_messages(messages: DataFrame) -> DataFrame:
