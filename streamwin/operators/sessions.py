@@ -29,21 +29,23 @@ def session(
     """One row per key and session, ending ``gap`` after its last event.
 
     Events exactly one gap apart share a session. ``gap`` may be a column that
-    gives each event its own timeout.
+    gives each event its own timeout; an event whose timeout is null, zero or
+    negative is left out.
 
-    Batch input with a constant gap is first aggregated into cells one gap
-    wide. Two events of a cell are closer than the gap, so they belong to one
-    session for certain, and merging cells gives the same sessions as merging
-    events. Cells combine before the shuffle and spread a busy key over all
-    tasks; what then meets on the key is bounded by the time covered, not by
-    the number of events. ``cells=False`` merges the events themselves, as a
-    stream always does: there the output mode has to be append or complete.
+    Batch input is first aggregated into cells one gap wide. Two events of a
+    cell are closer than the gap, so they belong to one session for certain,
+    and merging cells gives the same sessions as merging events. Cells combine
+    before the shuffle and spread a busy key over all tasks; what then meets on
+    the key is bounded by the time covered, not by the number of events. With a
+    timeout per event, a cell holds the events of one timeout. ``cells=False``
+    merges the events themselves, which saves a shuffle where nearly every
+    session is a single event. A stream always does so, and its output mode has
+    to be append or complete.
     """
-    constant = isinstance(gap, str)
     if cells is None:
-        cells = constant and not events.isStreaming
-    if cells and (not constant or events.isStreaming):
-        raise ValueError("cells need batch input and a constant gap")
+        cells = not events.isStreaming
+    if cells and events.isStreaming:
+        raise ValueError("cells need batch input")
     if cells:
         rows = _merge_cells(events, gap, keys, measures, event_time)
     else:
@@ -54,12 +56,22 @@ def session(
     return flat.select(*keys, "session_start", "session_end", *measures.names)
 
 
-def _merge_cells(events: DataFrame, gap: str, keys, measures: Measures, event_time: str) -> DataFrame:
-    cell = F.window(event_time, gap).alias("_cell")
-    cells = events.groupBy(cell, *keys).agg(
+def _merge_cells(events: DataFrame, gap: str | Column, keys, measures: Measures, event_time: str) -> DataFrame:
+    if isinstance(gap, str):
+        cell = [F.window(event_time, gap).alias("_cell")]
+        timeout = F.lit(interval_micros(gap))
+    else:
+        # Spark's own session of a single event tells how long that event lasts.
+        alone = events.withColumn("_alone", F.session_window(event_time, gap))
+        lasting = F.unix_micros("_alone.end") - F.unix_micros("_alone.start")
+        events = alone.withColumn("_timeout", lasting).drop("_alone")
+        timeout = F.col("_timeout")
+        micros = F.unix_micros(event_time)
+        cell = [timeout, ((micros - F.pmod(micros, timeout)) / timeout).cast("bigint").alias("_cell")]
+    cells = events.groupBy(*cell, *keys).agg(
         F.min(event_time).alias("_first"), F.max(event_time).alias("_last"), *measures.partial()
     )
-    # A cell stays open until one gap after its last event.
-    open_micros = F.unix_micros("_last") - F.unix_micros("_first") + interval_micros(gap)
+    # A cell lasts until one timeout after its last event.
+    open_micros = F.unix_micros("_last") - F.unix_micros("_first") + timeout
     open_for = F.make_interval(secs=open_micros.cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)"))
     return cells.groupBy(F.session_window("_first", open_for).alias("window"), *keys).agg(*measures.merged())

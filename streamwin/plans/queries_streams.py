@@ -46,11 +46,18 @@ def _stored(spark: SparkSession, result: DataFrame) -> DataFrame:
         output_root=f"{place}/out",
         checkpoint_root=f"{place}/checkpoint",
         trigger=AVAILABLE_NOW,
+        state_partitions=_state_partitions(spark),
     )
     finish(running)
     return spark.read.schema(result.schema).parquet(f"{place}/out/result")
 
 
+def _state_partitions(spark: SparkSession) -> int | None:
+    """One per core on a single machine; on a cluster what the session says."""
+    local = spark.conf.get("spark.master", "").startswith("local")
+    return spark.sparkContext.defaultParallelism if local else None
+
+
 def _json_files(spark: SparkSession, folder: str) -> DataFrame:
     """Events written as JSON lines and followed as a stream of files."""
     place = scratch_folder(spark, "events")
@@ -74,6 +81,7 @@ def _per_batch_table(spark: SparkSession, folder: str) -> DataFrame:
         checkpoint_root=f"{place}/checkpoint",
         trigger=AVAILABLE_NOW,
         save=save,
+        state_partitions=_state_partitions(spark),
     )
     finish(running)
     return zoneless(spark.read.parquet(f"{place}/session_aggregations").select(result.columns))

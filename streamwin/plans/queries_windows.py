@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..functions.columns import arrival_delay, with_event_time
+from ..functions.columns import arrival_delay, tagged, with_event_time
 from ..functions.measures import BASELINE, COUNT_AND_AVERAGE, COUNT_ONLY, FULL
 from ..schema import market_view
-from .sql import AVERAGE, BOUNDS, COUNT, EVENTS, FULL_SQL, PAIR_SQL, REDUCED_SQL, session_sql, sliding_sql, tumbling_sql
+from .strategies import batch_strategies
+from .sql import BOUNDS, COUNT, EVENTS, FULL_SQL, PAIR_SQL, REDUCED_SQL, session_sql, sliding_sql, tumbling_sql
 
 # Prices have two decimals. Summed as decimals, averages have one right value
 # that two engines can be compared on.
@@ -71,9 +74,9 @@ def multi_sql(measures: str, key: str = "", closed: str = "") -> str:
     return f"with {EVENTS} select * from ({' union all '.join(parts)}) {closed}"
 
 
-def _personal_gap(events: DataFrame) -> DataFrame:
+def _personal_gap(events: DataFrame, cells: bool | None = None) -> DataFrame:
     gap = F.when(F.col("symbol") == "purchase", "45 minutes").otherwise("20 minutes")
-    return op.session(events, gap, measures=FULL_EXACT)
+    return op.session(events, gap, measures=FULL_EXACT, cells=cells)
 
 
 _PERSONAL_GAP_SQL = f"""
@@ -115,6 +118,25 @@ def _arrival_delays(events: DataFrame) -> DataFrame:
     return known.select("user_id", "event_time", arrival_delay(as_of=LATE_AS_OF).alias("delay_s"))
 
 
+def _strategy_rows(events: DataFrame) -> DataFrame:
+    """How many rows each of the compared strategies gives."""
+    counts = [tagged(build().agg(F.count("*").alias("records")), window_type=name) for name, build in batch_strategies(events).items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _strategy_rows_sql() -> str:
+    strategies = {
+        "Standard Window": tumbling_sql("5 minutes", REDUCED_SQL),
+        "Session-Based Window": session_sql("30 minutes", FULL_SQL, "user_id"),
+        "Hybrid Window": hybrid_sql(),
+        "Multi-Granularity Window": multi_sql(FULL_SQL),
+        "Adaptive Watermarked Window": sliding_sql("10 minutes", "2 minutes", 5, FULL_SQL),
+    }
+    return " union all ".join(
+        f"select '{name}' as window_type, count(*) as records from ({sql})" for name, sql in strategies.items()
+    )
+
+
 QUERIES = {
     "window_tumbling": _over_events(lambda ev: op.tumbling(ev, measures=FULL_EXACT)),
     "window_sliding": _over_events(lambda ev: op.sliding(ev, measures=FULL_EXACT)),
@@ -123,6 +145,7 @@ QUERIES = {
     "window_session_direct": _over_events(lambda ev: op.session(ev, measures=FULL_EXACT, cells=False)),
     "window_session_10min": _over_events(lambda ev: op.session(ev, "10 minutes", measures=FULL_EXACT)),
     "window_session_personal_gap": _over_events(_personal_gap),
+    "window_session_personal_gap_direct": _over_events(lambda ev: _personal_gap(ev, cells=False)),
     "window_hybrid": _over_events(lambda ev: op.hybrid(ev, measures=FULL_EXACT)),
     "window_hybrid_union": _over_events(lambda ev: op.hybrid(ev, measures=FULL_EXACT, shared=False)),
     "window_multi": _over_events(lambda ev: op.multi_granularity(ev, measures=FULL_EXACT)),
@@ -150,6 +173,7 @@ QUERIES = {
         lambda ev: op.keyed_multi_granularity(ev, measures=PAIR_EXACT, single_scan=False)
     ),
     "symbol_session": _over_events(lambda ev: op.keyed_session(ev, measures=PAIR_EXACT)),
+    "strategy_rows": _over_events(_strategy_rows),
     "arrival_delay": _over_events(_arrival_delays),
     "delay_stats": _delay_stats,
     "adaptive_delay": _adaptive_delays,
@@ -163,6 +187,7 @@ ORACLES = {
     "window_session_direct": session_sql("30 minutes", FULL_SQL, "user_id"),
     "window_session_10min": session_sql("10 minutes", FULL_SQL, "user_id"),
     "window_session_personal_gap": _PERSONAL_GAP_SQL,
+    "window_session_personal_gap_direct": _PERSONAL_GAP_SQL,
     "window_hybrid": hybrid_sql(),
     "window_hybrid_union": hybrid_sql(),
     "window_multi": multi_sql(FULL_SQL),
@@ -181,6 +206,7 @@ ORACLES = {
     "symbol_multi": multi_sql(PAIR_SQL, "symbol"),
     "symbol_multi_union": multi_sql(PAIR_SQL, "symbol"),
     "symbol_session": session_sql("2 minutes", PAIR_SQL, "symbol", *BOUNDS),
+    "strategy_rows": _strategy_rows_sql(),
     "arrival_delay": f"with {EVENTS} select user_id, event_time, {_delay_sql(LATE_AS_OF)} as delay_s from v where event_time is not null",
     "delay_stats": (
         f"with {EVENTS}, d as (select {_delay_sql(LATE_AS_OF)} as delay from v where event_time is not null) "

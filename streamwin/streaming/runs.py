@@ -37,13 +37,20 @@ def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
-def start_at_scale(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
+def start_at_scale(
+    spark: SparkSession, writer: DataStreamWriter, state_partitions: int | None = None
+) -> StreamingQuery:
     """Start a writer under :data:`SCALE_CONF`, except where the session has its own setting.
 
-    A query that goes on from a checkpoint keeps the state store it began with.
+    ``state_partitions`` is the number of shuffle partitions of this query
+    alone, by default the session's. Every micro-batch opens the state of every
+    partition, so a query with few keys is better off with fewer. The number is
+    fixed by the first start on a checkpoint, as is the kind of state store.
     """
-    unset = {name: value for name, value in SCALE_CONF.items() if spark.conf.get(name, None) is None}
-    with session_conf(spark, unset):
+    conf = {name: value for name, value in SCALE_CONF.items() if spark.conf.get(name, None) is None}
+    if state_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with session_conf(spark, conf):
         return writer.start()
 
 

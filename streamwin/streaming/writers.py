@@ -73,6 +73,7 @@ def start_files(
     trigger: str | dict | None = FILE_TRIGGER,
     partition_by: Sequence[str] = (),
     options: dict[str, str] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to files below ``output_root``, one folder per window type, exactly once."""
     writer = result.writeStream.format(file_format).outputMode("append").options(**(options or {}))
@@ -80,7 +81,7 @@ def start_files(
     writer = writer.option("checkpointLocation", f"{checkpoint_root}/{window_type}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return start_at_scale(result.sparkSession, _triggered(writer, trigger))
+    return start_at_scale(result.sparkSession, _triggered(writer, trigger), state_partitions)
 
 
 def start_delta(
@@ -135,12 +136,13 @@ def start_jdbc(
     trigger: str | dict | None = JDBC_TRIGGER,
     clear_batch: Callable[[str, int], None] | None = None,
     save: Callable[[DataFrame, dict[str, str]], None] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to the table ``<window_type>_aggregations``. ``options`` holds url, user, driver and so on."""
     write = jdbc_batch_writer(options, f"{window_type}_aggregations", clear_batch, save)
     writer = result.writeStream.outputMode("append").foreachBatch(write)
     writer = writer.option("checkpointLocation", f"{checkpoint_root}/{window_type}")
-    return start_at_scale(result.sparkSession, _triggered(writer, trigger))
+    return start_at_scale(result.sparkSession, _triggered(writer, trigger), state_partitions)
 
 
 def _save_jdbc(batch: DataFrame, options: dict[str, str]) -> None:

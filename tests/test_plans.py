@@ -15,7 +15,7 @@ from streamwin.plans.scratch import scratch_folder
 FOLDER = f"{TESTDATA}/sf0.001"
 QUERIES = entry_points.queries()
 BATCH = [name for name in QUERIES if not name.startswith(("stream_", "json_")) and name != "metrics_csv_round_trip"]
-WHOLE_TABLE = {"delay_stats", "adaptive_delay", "metrics_last_update", "window_adaptive", "window_adaptive_5min"}
+WHOLE_TABLE = {"delay_stats", "adaptive_delay", "metrics_last_update", "window_adaptive", "window_adaptive_5min", "strategy_rows"}
 
 
 def plan_of(df):
@@ -91,6 +91,11 @@ def test_sessions_shuffle_cells_and_not_events(spark):
     assert plan.count("MergingSessions") == 1
 
 
+def test_messages_are_parsed_once(plans):
+    for name in ("messages_text_fields", "messages_short", "messages_windows"):
+        assert plans[name].count("from_json(") == 1
+
+
 def test_the_broadcast_of_the_percentile_is_the_filtered_day_list(plans):
     plan = plans["delay_stats"]
     assert plan.count("BroadcastExchange") == 1

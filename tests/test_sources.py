@@ -88,6 +88,11 @@ def test_short_messages_give_null_for_a_wrong_type(spark):
     assert TEXT_MESSAGE_SCHEMA["price"].dataType.simpleString() == "string"
 
 
+def test_a_message_without_value_keeps_its_row(spark):
+    nothing = spark.createDataFrame([(None,), (None,)], "value binary")
+    assert [tuple(row) for row in decode(nothing, SHORT_MESSAGE_SCHEMA).collect()] == [(None,) * 4] * 2
+
+
 def test_kafka_options():
     assert kafka_source_options() == {
         "kafka.bootstrap.servers": "localhost:9092",

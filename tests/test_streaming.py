@@ -270,6 +270,29 @@ def test_settings_for_scale_last_only_for_the_start(spark, feed, tmp_path):
     assert [r.event_count for r in rows] == [2]
 
 
+def test_events_of_a_session_merge_before_the_shuffle(feed, tmp_path, capsys):
+    query = run(session(feed([["12:00", "12:01"]]).stream()), tmp_path)
+    query.explain()
+    plan = capsys.readouterr().out
+    before, after = plan[plan.index("Exchange") :], plan[: plan.index("Exchange")]
+    assert before.count("MergingSessions") == after.count("MergingSessions") == 1
+
+
+def test_state_partitions_of_one_query(spark, feed, tmp_path):
+    result = tumbling(feed([["12:00"]]).stream(), measures=COUNT_ONLY)
+    query = finish(
+        start_files(
+            result,
+            output_root=f"{tmp_path}/out",
+            checkpoint_root=f"{tmp_path}/cp",
+            trigger=AVAILABLE_NOW,
+            state_partitions=2,
+        )
+    )
+    assert query.recentProgress[0]["stateOperators"][0]["numStateStoreInstances"] == 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
 class Table:
     """Stands in for a database table that batches are appended to."""
 

@@ -148,9 +148,9 @@ def test_empty_input(trades):
 def test_bad_arguments(trades):
     events = trades(("12:00",))
     with pytest.raises(ValueError):
-        multi_granularity(events, [])
+        session(events, "1 month")
     with pytest.raises(ValueError):
-        session(events, F.lit("5 minutes"), cells=True)
+        multi_granularity(events, [])
 
 
 # --- sessions ---------------------------------------------------------------
@@ -164,15 +164,47 @@ def test_session_edge(trades):
         assert sorted((clock(r.session_start), r.event_count) for r in apart) == [("12:00", 1), ("12:30", 1)]
 
 
-def test_session_with_a_timeout_per_event(trades):
-    gap = F.when(F.col("price") > 5, "20 minutes").otherwise("5 minutes")
-    rows = session(trades(("12:00", "u", 9.0), ("12:15", "u", 1.0), ("12:21", "u", 1.0)), gap).collect()
+@pytest.mark.parametrize("cells", [True, False])
+def test_session_with_a_timeout_per_event(trades, cells):
+    gap = F.when(F.col("price") > 5, "20 minutes").when(F.col("price") > 0, "5 minutes")
+    events = trades(("12:00", "u", 9.0), ("12:15", "u", 1.0), ("12:21", "u", 1.0), ("12:22", "u", -1.0))
+    rows = session(events, gap, cells=cells).collect()
     assert sorted((clock(r.session_start), clock(r.session_end), r.event_count) for r in rows) == [
         ("12:00", "12:20", 2),
         ("12:21", "12:26", 1),
     ]
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("ab"), st.integers(0, 300), st.sampled_from([1, 5, 7, 60])), min_size=1, max_size=50
+    )
+)
+def test_timeouts_per_event_match_a_walk_over_the_sorted_times(trades, points):
+    origin = at("09:59:48")
+    events = trades(*[(origin + timedelta(seconds=offset), user, float(wait)) for user, offset, wait in points])
+    wanted = []
+    for user in {user for user, _, _ in points}:
+        found = []
+        for offset, wait in sorted((o, w) for u, o, w in points if u == user):
+            if found and offset <= found[-1][1]:
+                first, until, n = found[-1]
+                found[-1] = (first, max(until, offset + wait), n + 1)
+            else:
+                found.append((offset, offset + wait, 1))
+        wanted += [(user, *one) for one in found]
+    gap = F.concat(F.col("price").cast("int").cast("string"), F.lit(" seconds"))
+    for cells in (True, False):
+        rows = session(events, gap, cells=cells, measures=COUNT_ONLY).collect()
+
+        def offset(stamp):
+            return round((stamp.replace(tzinfo=timezone.utc) - origin).total_seconds())
+
+        got = sorted((r.user_id, offset(r.session_start), offset(r.session_end), r.event_count) for r in rows)
+        assert got == sorted(wanted)
+
+
 def sessions_by_hand(offsets, gap):
     """Sessions as (first, last, count) by going through the sorted offsets."""
     found = []
