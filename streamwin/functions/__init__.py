@@ -1,4 +1,4 @@
-from .columns import arrival_delay, cast_or_null, flatten_window, parse_event_time, tagged, with_event_time
+from .columns import arrival_delay, cast_or_null, parse_event_time, tagged, window_bounds, with_event_time
 from .durations import bound_minutes, interval_micros
 from .measures import BASELINE, COUNT_AND_AVERAGE, COUNT_ONLY, FULL, Measures
 
@@ -11,9 +11,9 @@ __all__ = [
     "arrival_delay",
     "bound_minutes",
     "cast_or_null",
-    "flatten_window",
     "interval_micros",
     "parse_event_time",
     "tagged",
+    "window_bounds",
     "with_event_time",
 ]

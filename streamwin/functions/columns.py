@@ -33,9 +33,9 @@ def arrival_delay(event_time: str = "event_time", as_of: Column | str | None = N
     return F.unix_timestamp(now) - F.unix_timestamp(F.col(event_time))
 
 
-def flatten_window(df: DataFrame, struct: str = "window", start: str = "window_start", end: str = "window_end") -> DataFrame:
-    """Replace a window struct by its two bounds, placed last."""
-    return df.withColumns({start: F.col(struct)["start"], end: F.col(struct)["end"]}).drop(struct)
+def window_bounds(struct: str = "window", start: str = "window_start", end: str = "window_end") -> list[Column]:
+    """The two bounds of a window struct as columns of their own."""
+    return [F.col(f"{struct}.start").alias(start), F.col(f"{struct}.end").alias(end)]
 
 
 def tagged(df: DataFrame, **tags: str) -> DataFrame:

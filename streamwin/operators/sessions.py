@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import flatten_window
+from ..functions.columns import window_bounds
 from ..functions.durations import interval_micros
 from ..functions.measures import FULL, Measures
 
@@ -52,8 +52,7 @@ def session(
         marked = events.withWatermark(event_time, delay)
         span = F.session_window(event_time, gap)
         rows = marked.groupBy(span.alias("window"), *keys).agg(*measures.direct())
-    flat = flatten_window(rows, start="session_start", end="session_end")
-    return flat.select(*keys, "session_start", "session_end", *measures.names)
+    return rows.select(*keys, *window_bounds("window", "session_start", "session_end"), *measures.names)
 
 
 def _merge_cells(events: DataFrame, gap: str | Column, keys, measures: Measures, event_time: str) -> DataFrame:

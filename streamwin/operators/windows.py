@@ -17,7 +17,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import flatten_window, tagged
+from ..functions.columns import tagged, window_bounds
 from ..functions.durations import interval_micros, micros_interval
 from ..functions.measures import FULL, Measures
 
@@ -86,13 +86,12 @@ def hybrid(
         rows = _sliding(events, tumbling_duration, sliding_duration, delay, keys, measures, event_time, None)
         aligned = F.unix_micros(F.col("window.start")) % width == 0
         kinds = F.when(aligned, F.array(F.lit("tumbling"), F.lit("sliding"))).otherwise(F.array(F.lit("sliding")))
-        rows = rows.withColumn("window_type", F.explode(kinds))
-        return _layout(rows, keys, measures, ("window_type",))
+        return _layout(rows, keys, measures, window_type=F.explode(kinds))
     common = dict(delay=delay, keys=keys, measures=measures, event_time=event_time)
     united = tagged(tumbling(events, tumbling_duration, **common), window_type="tumbling").unionByName(
         tagged(sliding(events, tumbling_duration, sliding_duration, **common), window_type="sliding")
     )
-    return united.select(*_order(keys, measures, ("window_type",)))
+    return united.select(*_order(keys, measures, ["window_type"]))
 
 
 def multi_granularity(
@@ -129,7 +128,7 @@ def multi_granularity(
             for text in granularities
         ]
         united = reduce(DataFrame.unionByName, parts)
-        return united.select(*_order(keys, measures, ("granularity",)))
+        return united.select(*_order(keys, measures, ["granularity"]))
     if events.isStreaming:
         widest = max(widths.values())
         if any(widest % width for width in widths.values()):
@@ -142,8 +141,7 @@ def multi_granularity(
         panes = _panes(events, gcd(*widths.values()), keys, measures, event_time)
         copies = panes.withColumn("_slot", F.explode(_slots(F.col("pane.start"), widths)))
         rows = copies.groupBy("_slot", *keys).agg(*measures.merged())
-    rows = rows.withColumns({"granularity": F.col("_slot.granularity"), "window": F.col("_slot.window")})
-    return _layout(rows, keys, measures, ("granularity",))
+    return _layout(rows, keys, measures, "_slot.window", granularity=F.col("_slot.granularity"))
 
 
 def static_sliding(
@@ -158,7 +156,7 @@ def static_sliding(
 ) -> DataFrame:
     """Sliding windows under a fixed watermark, with the delay as a column."""
     rows = _sliding(events, window_duration, sliding_duration, delay, keys, measures, event_time, None)
-    return _layout(tagged(rows, watermark_delay=delay), keys, measures, ("watermark_delay",))
+    return _layout(rows, keys, measures, watermark_delay=F.lit(delay))
 
 
 def _sliding(events, size, slide, delay, keys, measures, event_time, panes) -> DataFrame:
@@ -195,7 +193,7 @@ def _slots(at: Column, widths: dict[str, int]) -> Column:
     return F.array(*[slot(text, width) for text, width in widths.items()])
 
 
-def _order(keys, measures: Measures, tags=()) -> list[str]:
+def _order(keys, measures: Measures, tags: Sequence[str] = ()) -> list[str]:
     """Column order: keyed rows lead with their bounds and keys, others end with the bounds."""
     bounds = ["window_start", "window_end"]
     if keys:
@@ -203,5 +201,8 @@ def _order(keys, measures: Measures, tags=()) -> list[str]:
     return [*measures.names, *tags, *bounds]
 
 
-def _layout(rows: DataFrame, keys, measures: Measures, tags=()) -> DataFrame:
-    return flatten_window(rows).select(*_order(keys, measures, tags))
+def _layout(rows: DataFrame, keys, measures: Measures, window: str = "window", **tags: Column) -> DataFrame:
+    """Flatten the window struct, add the tags and put all columns in their order."""
+    made = dict(zip(("window_start", "window_end"), window_bounds(window)))
+    made |= {name: tag.alias(name) for name, tag in tags.items()}
+    return rows.select(*[made.get(name, name) for name in _order(keys, measures, list(tags))])

@@ -1,5 +1,6 @@
 from .evaluate import measure, measure_all
 from .strategies import (
+    adaptive_cycle,
     batch_strategies,
     live_strategies,
     start_live,
@@ -8,6 +9,7 @@ from .strategies import (
 )
 
 __all__ = [
+    "adaptive_cycle",
     "batch_strategies",
     "live_strategies",
     "measure",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as m
 from ..sources import read_metrics, write_metrics
-from .queries_windows import zoneless
+from .queries_windows import event_table, zoneless
 from .scratch import scratch_folder
 
 
@@ -17,7 +17,7 @@ def samples_of(spark: SparkSession, folder: str) -> DataFrame:
     The readings are whole numbers (cents, ``k`` and the user's number), which
     add up exactly in any order.
     """
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = event_table(spark, folder)
 
     def sample(metric: str, value, label):
         return F.struct(F.lit(metric).alias("metric"), value.alias("value"), label.alias("label"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import operators as op
 from ..functions.measures import COUNT_ONLY
-from ..schema import EVENT_SCHEMA, market_view
+from ..schema import EVENT_SCHEMA, EVENT_TABLE_SCHEMA, market_view
 from ..sources import stream_events, write_events
 from ..streaming import AVAILABLE_NOW, finish, start_files, start_jdbc
 from .queries_windows import FULL_EXACT, PAIR_EXACT, events_of, hybrid_sql, multi_sql, zoneless
@@ -21,8 +21,8 @@ def stream_of(spark: SparkSession, folder: str) -> DataFrame:
 
     A stream of files takes a single file only by way of a pattern.
     """
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    return market_view(stream_events(spark, f"{folder}/events.parque[t]", schema, file_format="parquet"))
+    path = f"{folder}/events.parque[t]"
+    return market_view(stream_events(spark, path, EVENT_TABLE_SCHEMA, file_format="parquet"))
 
 
 def _through_files(build: Callable[[DataFrame], DataFrame]):

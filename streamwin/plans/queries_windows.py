@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions.columns import arrival_delay, tagged, with_event_time
 from ..functions.measures import BASELINE, COUNT_AND_AVERAGE, COUNT_ONLY, FULL
-from ..schema import market_view
+from ..schema import EVENT_TABLE_SCHEMA, market_view
 from .strategies import batch_strategies
 from .sql import BOUNDS, COUNT, EVENTS, FULL_SQL, PAIR_SQL, REDUCED_SQL, session_sql, sliding_sql, tumbling_sql
 
@@ -24,8 +24,13 @@ AS_OF = "2024-01-31 00:00:00"
 LATE_AS_OF = "2024-02-01 00:00:00"
 
 
+def event_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table under its known schema, without a job that looks the schema up."""
+    return spark.read.schema(EVENT_TABLE_SCHEMA).parquet(f"{folder}/events.parquet")
+
+
 def events_of(spark: SparkSession, folder: str) -> DataFrame:
-    return market_view(spark.read.parquet(f"{folder}/events.parquet"))
+    return market_view(event_table(spark, folder))
 
 
 def zoneless(rows: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from ..operators import (
     tumbling,
 )
 from ..sources import decode_text_messages
-from ..streaming import checkpointed_writer, start_at_scale
+from ..streaming import AVAILABLE_NOW, checkpointed_writer, finish, start_at_scale, start_files
 
 # Settings of the live run over events.
 LIVE_SESSION_GAP = "10 minutes"
@@ -76,6 +76,28 @@ def start_live(
     return started
 
 
+def adaptive_cycle(
+    events: DataFrame,
+    history: DataFrame,
+    *,
+    output_root: str,
+    checkpoint_root: str,
+    as_of: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """Process what has arrived with a delay estimated anew, then stop.
+
+    Called again and again on the same folders, each call takes up where the
+    last one ended. The watermark never moves back, so a longer delay than
+    before holds for later events only.
+    """
+    result = adaptive_sliding(events, history=history, as_of=as_of, **{**LIVE_ADAPTIVE, **options})
+    query = start_files(
+        result, "adaptive", output_root=output_root, checkpoint_root=checkpoint_root, trigger=AVAILABLE_NOW
+    )
+    return finish(query)
+
+
 def symbol_strategies(events: DataFrame) -> dict[str, DataFrame]:
     """The four per-symbol results, by the window type their tables are named after."""
     return {

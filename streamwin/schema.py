@@ -40,6 +40,18 @@ SHORT_MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
+# The generic event table the registered queries read.
+EVENT_TABLE_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 # Metric samples in long form. Numeric metrics fill ``value``; the watermark
 # metric carries its delay text in ``label``.
 METRIC_SCHEMA = T.StructType(

@@ -24,7 +24,7 @@ from streamwin.operators import (
     static_sliding,
     tumbling,
 )
-from streamwin.plans import start_live, start_symbol_strategies
+from streamwin.plans import adaptive_cycle, start_live, start_symbol_strategies
 from streamwin.schema import EVENT_SCHEMA
 from streamwin.sources import encode, stream_events
 from streamwin.streaming import (
@@ -358,6 +358,25 @@ def test_live_strategies_run_side_by_side(spark, feed, trades, tmp_path):
     assert {r.watermark_delay for r in spark.table("adaptive_window").collect()} == {"15 minutes"}
 
 
+def test_adaptive_cycles_estimate_anew_and_go_on(spark, feed, trades, tmp_path):
+    """Ten minutes of lateness give 12, a quarter of an hour is cut to 15."""
+    source, place = feed([["12:00"], ["12:40"]]), {"output_root": f"{tmp_path}/out", "checkpoint_root": f"{tmp_path}/cp"}
+
+    def cycle(latest):
+        return adaptive_cycle(source.stream(), trades((latest,)), as_of="2024-03-01 13:00:00", **place)
+
+    query = cycle("12:50")
+    assert query.lastProgress["eventTime"]["watermark"].startswith("2024-03-01T12:28")
+    source.add(["12:30"]).add(["13:30"])
+    query = cycle("12:30")
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 2
+    assert late_rows(query) == 0
+    rows = spark.read.parquet(f"{tmp_path}/out/adaptive").collect()
+    assert len(rows) == 15
+    found = {(clock(r.window_start), r.watermark_delay) for r in rows}
+    assert ("12:00", "12 minutes") in found and ("12:40", "15 minutes") in found
+
+
 def test_symbol_strategies_decode_and_start(spark, feed, tmp_path):
     messages = encode(feed([["12:00", "12:01"], ["13:40"]]).stream())
     tables = {}
