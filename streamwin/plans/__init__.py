@@ -2,6 +2,7 @@ from .evaluate import measure, measure_all
 from .strategies import (
     adaptive_cycle,
     batch_strategies,
+    live_samples,
     live_strategies,
     start_live,
     start_symbol_strategies,
@@ -11,6 +12,7 @@ from .strategies import (
 __all__ = [
     "adaptive_cycle",
     "batch_strategies",
+    "live_samples",
     "live_strategies",
     "measure",
     "measure_all",

@@ -21,7 +21,14 @@ from ..operators import (
     tumbling,
 )
 from ..sources import decode_text_messages
-from ..streaming import AVAILABLE_NOW, checkpointed_writer, finish, start_at_scale, start_files
+from ..streaming import (
+    AVAILABLE_NOW,
+    checkpointed_writer,
+    finish,
+    progress_samples,
+    start_at_scale,
+    start_files,
+)
 
 # Settings of the live run over events.
 LIVE_SESSION_GAP = "10 minutes"
@@ -31,6 +38,13 @@ LIVE_ADAPTIVE = {
     "max_event_delay": "15 minutes",
     "min_event_delay": "30 seconds",
 }
+# How the metrics name each live strategy, and its watermark delay.
+LIVE_LABELS = {
+    "session": ("Session Window", "10 minutes"),
+    "hybrid": ("Hybrid Window", "5 minutes"),
+    "multi": ("Multi-Granularity Window", "30 minutes"),
+    "adaptive": ("Adaptive Window", "unknown"),
+}
 
 
 def live_strategies(events: DataFrame, history: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -76,6 +90,15 @@ def start_live(
     return started
 
 
+def live_samples(queries: dict[str, StreamingQuery], adaptive_delay: str | None = None) -> list[tuple]:
+    """Metric samples of the queries :func:`start_live` started, for ``progress_table``."""
+    samples: list[tuple] = []
+    for name, query in queries.items():
+        window_type, delay = LIVE_LABELS[name]
+        samples += progress_samples(query, window_type, adaptive_delay or delay if name == "adaptive" else delay)
+    return samples
+
+
 def adaptive_cycle(
     events: DataFrame,
     history: DataFrame,

@@ -110,19 +110,23 @@ def jdbc_batch_writer(
     table: str,
     clear_batch: Callable[[str, int], None] | None = None,
     save: Callable[[DataFrame, dict[str, str]], None] | None = None,
+    batch_column: str | None = "batch_id",
 ) -> Callable[[DataFrame, int], None]:
-    """What a JDBC sink does with a micro-batch: append it, marked with its ``batch_id``.
+    """What a JDBC sink does with a micro-batch: append it, marked with its number.
 
     After a failure Spark hands the same batch over again. ``clear_batch``,
-    given the table and the batch id, deletes what an earlier attempt left, so
-    that the batch is stored once. ``save`` replaces the JDBC write.
+    given the table and the number, deletes what an earlier attempt left, so
+    that the batch is stored once. ``batch_column=None`` writes to a table that
+    has no column for the number. ``save`` replaces the JDBC write.
     """
     target = {**options, "dbtable": table}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if clear_batch is not None:
             clear_batch(table, batch_id)
-        (save or _save_jdbc)(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), target)
+        if batch_column is not None:
+            batch = batch.withColumn(batch_column, F.lit(batch_id).cast("bigint"))
+        (save or _save_jdbc)(batch, target)
 
     return write
 
@@ -136,10 +140,11 @@ def start_jdbc(
     trigger: str | dict | None = JDBC_TRIGGER,
     clear_batch: Callable[[str, int], None] | None = None,
     save: Callable[[DataFrame, dict[str, str]], None] | None = None,
+    batch_column: str | None = "batch_id",
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to the table ``<window_type>_aggregations``. ``options`` holds url, user, driver and so on."""
-    write = jdbc_batch_writer(options, f"{window_type}_aggregations", clear_batch, save)
+    write = jdbc_batch_writer(options, f"{window_type}_aggregations", clear_batch, save, batch_column)
     writer = result.writeStream.outputMode("append").foreachBatch(write)
     writer = writer.option("checkpointLocation", f"{checkpoint_root}/{window_type}")
     return start_at_scale(result.sparkSession, _triggered(writer, trigger), state_partitions)

@@ -24,9 +24,9 @@ from streamwin.operators import (
     static_sliding,
     tumbling,
 )
-from streamwin.plans import adaptive_cycle, start_live, start_symbol_strategies
+from streamwin.plans import adaptive_cycle, live_samples, start_live, start_symbol_strategies
 from streamwin.schema import EVENT_SCHEMA
-from streamwin.sources import encode, stream_events
+from streamwin.sources import encode, read_metrics, stream_events, write_metrics
 from streamwin.streaming import (
     AVAILABLE_NOW,
     OUTPUT_MODES,
@@ -286,11 +286,11 @@ def test_state_partitions_of_one_query(spark, feed, tmp_path):
             output_root=f"{tmp_path}/out",
             checkpoint_root=f"{tmp_path}/cp",
             trigger=AVAILABLE_NOW,
-            state_partitions=2,
+            state_partitions=3,
         )
     )
-    assert query.recentProgress[0]["stateOperators"][0]["numStateStoreInstances"] == 2
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert query.recentProgress[0]["stateOperators"][0]["numStateStoreInstances"] == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
 
 
 class Table:
@@ -328,6 +328,12 @@ def test_a_batch_handed_over_again_is_stored_once(spark):
     assert sorted((row.batch_id, row.id) for row in table.rows) == [(b, i) for b in (0, 1) for i in range(3)]
 
 
+def test_a_table_without_batch_numbers(spark):
+    table = Table()
+    jdbc_batch_writer({}, "t", save=table.save, batch_column=None)(spark.range(2), 7)
+    assert [row.asDict() for row in table.rows] == [{"id": 0}, {"id": 1}]
+
+
 def test_jdbc_options_reach_the_writer(spark, monkeypatch):
     """Without a driver on the class path the write fails at loading it, which shows the options arrive."""
     write = jdbc_batch_writer({"url": "jdbc:postgresql://h/db", "driver": "org.postgresql.Driver"}, "t")
@@ -357,6 +363,20 @@ def test_live_strategies_run_side_by_side(spark, feed, trades, tmp_path):
     assert {r.granularity for r in spark.table("multi_window").collect()} == {"1 minute", "5 minutes", "15 minutes"}
     assert {r.watermark_delay for r in spark.table("adaptive_window").collect()} == {"15 minutes"}
 
+    samples = progress_table(spark, live_samples(queries, "15 minutes"))
+    write_metrics(samples, f"{tmp_path}/metrics", "20250101_120000")
+    back = read_metrics(spark, f"{tmp_path}/metrics")
+    assert back.count() == samples.count()
+    labels = back.filter("metric = 'watermark_delays'").select("window_type", "label").distinct()
+    assert {tuple(row) for row in labels.collect()} == {
+        ("Session Window", "10 minutes"),
+        ("Hybrid Window", "5 minutes"),
+        ("Multi-Granularity Window", "30 minutes"),
+        ("Adaptive Window", "15 minutes"),
+    }
+    rows = {r.window_type: r.rows for r in back.filter("metric = 'input_rows'").groupBy("window_type").agg(F.sum("value").alias("rows")).collect()}
+    assert rows == {"Session Window": 3, "Hybrid Window": 3, "Multi-Granularity Window": 9, "Adaptive Window": 3}
+
 
 def test_adaptive_cycles_estimate_anew_and_go_on(spark, feed, trades, tmp_path):
     """Ten minutes of lateness give 12, a quarter of an hour is cut to 15."""
