@@ -57,7 +57,7 @@ def session(
 
 def _merge_cells(events: DataFrame, gap: str | Column, keys, measures: Measures, event_time: str) -> DataFrame:
     if isinstance(gap, str):
-        cell = [F.window(event_time, gap).alias("_cell")]
+        cell = [F.window(event_time, gap)["start"].alias("_cell")]
         timeout = F.lit(interval_micros(gap))
     else:
         # Spark's own session of a single event tells how long that event lasts.

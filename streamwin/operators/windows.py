@@ -38,8 +38,14 @@ def tumbling(
     event_time: str = "event_time",
 ) -> DataFrame:
     """One row per ``[start, end)`` window of fixed width (and per key)."""
-    grouped = events.withWatermark(event_time, delay).groupBy(F.window(event_time, duration), *keys)
-    return _layout(grouped.agg(*measures.direct()), keys, measures)
+    if events.isStreaming:
+        grouped = events.withWatermark(event_time, delay).groupBy(F.window(event_time, duration), *keys)
+        return _layout(grouped.agg(*measures.direct()), keys, measures)
+    # A batch groups by the start alone, a shorter key than both bounds.
+    start, width = F.window(event_time, duration)["start"].alias("_start"), interval_micros(duration)
+    rows = events.groupBy(start, *keys).agg(*measures.direct())
+    end = F.timestamp_micros(F.unix_micros("_start") + width)
+    return _layout(rows, keys, measures, [F.col("_start").alias("window_start"), end.alias("window_end")])
 
 
 def sliding(
@@ -139,9 +145,9 @@ def multi_granularity(
         rows = grouped.agg(*measures.direct())
     else:
         panes = _panes(events, gcd(*widths.values()), keys, measures, event_time)
-        copies = panes.withColumn("_slot", F.explode(_slots(F.col("pane.start"), widths)))
+        copies = panes.withColumn("_slot", F.explode(_slots(F.col("_pane"), widths)))
         rows = copies.groupBy("_slot", *keys).agg(*measures.merged())
-    return _layout(rows, keys, measures, "_slot.window", granularity=F.col("_slot.granularity"))
+    return _layout(rows, keys, measures, window_bounds("_slot.window"), granularity=F.col("_slot.granularity"))
 
 
 def static_sliding(
@@ -168,14 +174,14 @@ def _sliding(events, size, slide, delay, keys, measures, event_time, panes) -> D
     width, step = interval_micros(size), interval_micros(slide)
     if panes and step < width:
         narrow = _panes(events, gcd(width, step), keys, measures, event_time)
-        return narrow.groupBy(F.window("pane.start", size, slide), *keys).agg(*measures.merged())
+        return narrow.groupBy(F.window("_pane", size, slide), *keys).agg(*measures.merged())
     marked = events.withWatermark(event_time, delay)
     return marked.groupBy(F.window(event_time, size, slide), *keys).agg(*measures.direct())
 
 
 def _panes(events: DataFrame, width: int, keys, measures: Measures, event_time: str) -> DataFrame:
     """Partial measures per narrow time pane (and key)."""
-    pane = F.window(event_time, micros_interval(width)).alias("pane")
+    pane = F.window(event_time, micros_interval(width))["start"].alias("_pane")
     return events.groupBy(pane, *keys).agg(*measures.partial())
 
 
@@ -201,8 +207,10 @@ def _order(keys, measures: Measures, tags: Sequence[str] = ()) -> list[str]:
     return [*measures.names, *tags, *bounds]
 
 
-def _layout(rows: DataFrame, keys, measures: Measures, window: str = "window", **tags: Column) -> DataFrame:
-    """Flatten the window struct, add the tags and put all columns in their order."""
-    made = dict(zip(("window_start", "window_end"), window_bounds(window)))
+def _layout(
+    rows: DataFrame, keys, measures: Measures, bounds: list[Column] | None = None, **tags: Column
+) -> DataFrame:
+    """Put the window's bounds, the keys, the measures and the tags in their order."""
+    made = dict(zip(("window_start", "window_end"), bounds or window_bounds()))
     made |= {name: tag.alias(name) for name, tag in tags.items()}
     return rows.select(*[made.get(name, name) for name in _order(keys, measures, list(tags))])

@@ -87,7 +87,7 @@ def test_wide_windows_are_built_from_panes(spark):
 def test_sessions_shuffle_cells_and_not_events(spark):
     plan = plan_of(session(events_of(spark, FOLDER)))
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert [re.sub(r"#\d+L?", "", key).split(", ")[:-1] for key in keys] == [["user_id"], ["window", "user_id"]]
+    assert [re.sub(r"#\d+L?", "", key).split(", ")[:-1] for key in keys] == [["user_id"], ["_groupingexpression", "user_id"]]
     assert plan.count("MergingSessions") == 1
 
 
