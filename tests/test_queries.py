@@ -5,9 +5,10 @@ from conftest import TESTDATA
 
 import __spark_entry__ as entry_points
 import oracle
+from streamwin.plans import catalog
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracles()
 FOLDER = f"{TESTDATA}/sf0.01"
 
 
@@ -16,7 +17,9 @@ def db():
     return oracle.connect(FOLDER)
 
 
-def test_every_query_has_sql():
+def test_every_query_is_registered_and_has_sql():
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert SQL.items() <= entry_points.oracle_sql().items()
     assert QUERIES.keys() == SQL.keys()
 
 
