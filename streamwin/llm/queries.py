@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 
 import public_tokenizers
@@ -9,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_folder
-from . import digests, mixing, quality_cnn, rules, token_blocks, token_counts, toxicity
-from .text import held_out
+from . import digests, mixing, near_duplicates, quality_cnn, rules, substrings, token_blocks, token_counts, toxicity
+from .text import held_out, importable
 
 # Folder of the tokenizer files; each executor has them.
 VOCABULARIES = os.environ.get("LLM_VOCABULARIES") or os.path.dirname(public_tokenizers.path("x"))
@@ -45,6 +46,32 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return digests.against_next(documents(spark, folder))
 
 
+def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    left = substrings.remove_repeats(documents(spark, folder))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+with w as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), s as (
+    select doc_id, words, unnest(range(1, len(words) - 11)) as pos from w where len(words) >= 13
+), g as (
+    select doc_id, pos, array_to_string(words[pos:pos + 12], ' ') as win from s
+), f as (
+    select win, min(doc_id) as first_id from g group by win having min(doc_id) < max(doc_id)
+), c as (
+    select distinct doc_id, unnest(range(pos, pos + 13)) as place from g join f using (win) where doc_id > first_id
+), r as (
+    select doc_id, list(place) as gone from c group by doc_id
+)
+select w.doc_id, len(words)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
+    sha256(array_to_string(case when gone is null then words else
+        list_filter(words, lambda x, i: not list_contains(gone, i)) end, ' ')) as kept_sha256
+from w left join r using (doc_id)
+"""
+
+
 def op5_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, folder), keep=("doc_id",))
     return mixed.select(
@@ -56,6 +83,40 @@ def op5_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(documents(spark, folder))
+
+
+OP6_SQL = r"""
+with recursive w as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as words
+    from documents
+), s as (
+    select distinct doc_id, unnest(case when len(words) = 0 then []
+        when len(words) < 5 then [array_to_string(words, ' ')]
+        else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingle
+    from w
+), n as (
+    select w.doc_id, count(shingle) as size from w left join s using (doc_id) group by w.doc_id
+), i as (
+    select a.doc_id as a, b.doc_id as b, count(*) as common
+    from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all
+), l as (
+    select a, b from i join n x on a = x.doc_id join n y on b = y.doc_id
+    where 100 * common >= 75 * (x.size + y.size - common)
+), r as (
+    select doc_id, doc_id as other from n
+    union
+    select r.doc_id, l.b from r join l on r.other = l.a
+), c as (
+    select doc_id, min(other) as component_id from r group by doc_id
+)
+select n.doc_id, n.size as n_shingles, component_id, n.doc_id = component_id as kept from n join c using (doc_id)
+"""
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = toxicity.learn(docs, table(spark, folder, "labels"))
@@ -83,14 +144,27 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.with_limit(counts, 512)
 
 
-QUERIES = {
+def _importable(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return query(spark, folder)
+
+    return run
+
+
+_ALL = {
     "op1_token_blocks": op1_token_blocks,
     "op2_quality": op2_quality,
     "op3_fingerprints": op3_fingerprints,
+    "op4_substrings": op4_substrings,
     "op5_mix": op5_mix,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_toxicity": op8_toxicity,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+QUERIES = {name: _importable(query) for name, query in _ALL.items()}
+
+ORACLES = {"op4_substrings": OP4_SQL, "op6_near_duplicates": OP6_SQL}
