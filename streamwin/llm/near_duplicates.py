@@ -172,8 +172,8 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text_column:
         "signatures",
     )
     named = rows.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
-    chosen = named.join(classes, "set_key").where("doc_id = first_id").groupBy("doc_id").agg(F.first("signature").alias("signature"))
+    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
+    chosen = classes.groupBy(F.col("first_id").alias("doc_id")).agg(F.first("signature").alias("signature"))
     roots = components(links(texts, chosen)).select(F.col("node").alias("first_id"), "root")
     component = F.coalesce("root", "first_id", "doc_id")
     found = rows.drop("signature").join(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_folder
-from . import digests, mixing, near_duplicates, quality_cnn, rules, substrings, token_blocks, token_counts, toxicity
+from . import digests, mixing, near_duplicates, pieces, quality_cnn, rules, substrings, token_blocks, token_counts, toxicity
 from .text import held_out, importable
 
 # Folder of the tokenizer files; each executor has them.
@@ -117,6 +117,18 @@ select n.doc_id, n.size as n_shingles, component_id, n.doc_id = component_id as
 """
 
 
+def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every whole text, and the digest of what they decode to."""
+    model = vocabulary("piece_bpe_32k.model")
+    encoded = pieces.decode(pieces.encode(documents(spark, folder), model), model)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = toxicity.learn(docs, table(spark, folder, "labels"))
@@ -160,6 +172,7 @@ _ALL = {
     "op4_substrings": op4_substrings,
     "op5_mix": op5_mix,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_pieces": op7_pieces,
     "op8_toxicity": op8_toxicity,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
