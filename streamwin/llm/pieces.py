@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from .text import partitions, per_batch, texts
 
 SPACE = "▁"
-# Boundaries of a word are bits of a long; longer words are encoded by the library.
+# Boundaries of a word are bits of a long; the few longer words are encoded by the library.
 LATTICE_CHARS = 60
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -33,12 +33,14 @@ def _processor(model: str):
 def piece_table(spark: SparkSession, model: str) -> DataFrame:
     """``piece, id, rank`` of the vocabulary's ordinary pieces, best first. Its size is that of the vocabulary."""
     loaded = _processor(model)
-    rows = [
-        (loaded.id_to_piece(at), at, -loaded.get_score(at))
+    ids = [
+        at
         for at in range(loaded.get_piece_size())
         if not (loaded.is_control(at) or loaded.is_unknown(at) or loaded.is_byte(at) or loaded.is_unused(at))
     ]
-    return spark.createDataFrame(rows, "piece string, id int, rank double")
+    scores = {score: rank for rank, score in enumerate(sorted(map(loaded.get_score, ids), reverse=True))}
+    rows = [(loaded.id_to_piece(at), at, scores[loaded.get_score(at)]) for at in ids]
+    return spark.createDataFrame(rows, "piece string, id int, rank int")
 
 
 def words_of(text: str) -> list[str]:
@@ -67,14 +69,24 @@ def encode_words(words: DataFrame, vocabulary: DataFrame, first_byte: int) -> Da
         "stop", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, size)))
     ).withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("stop") - F.col("start")))
     found = spans.join(F.broadcast(vocabulary), "piece", "left").where("id is not null or stop = 1")
-    inner = _bit(F.col("stop")) - _bit(F.col("start") + 1)
-    ends = _bit(F.col("start")).bitwiseOR(_bit(F.col("stop")))
-    merge = F.struct("rank", "start", ends.alias("ends"), inner.alias("inner"))
-    edge = F.struct("start", "stop", "id")
-    lattice = found.groupBy("word").agg(
-        F.sort_array(F.collect_list(F.when(F.col("id").isNotNull() & (inner != 0), merge))).alias("merges"),
-        F.collect_list(F.when(F.col("id").isNotNull(), edge)).alias("edges"),
-        *(F.first(name).alias(name) for name in others),
+    # An edge is one number, so that edges sort by rank, then by start: rank, start, stop and id.
+    packed = F.call_function("shiftleft", F.col("rank").cast("long"), F.lit(33))
+    packed = packed + F.col("start").cast("long") * (1 << 27) + F.col("stop").cast("long") * (1 << 21) + F.col("id")
+    edges = found.groupBy("word").agg(
+        F.sort_array(F.collect_list(packed)).alias("edges"),
+        *(F.first(F.when((F.col("start") == 0) & (F.col("stop") == 1), F.col(name)), True).alias(name) for name in others),
+    )
+    def place(edge: Column, shift: int) -> Column:
+        return F.shiftrightunsigned(edge, shift).bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+    def merge(edge: Column) -> Column:
+        start, stop = place(edge, 27), place(edge, 21)
+        return F.struct(
+            _bit(start).bitwiseOR(_bit(stop)).alias("ends"), (_bit(stop) - _bit(start + 1)).alias("inner")
+        )
+
+    lattice = edges.select(
+        "*", F.explode(F.array(F.filter(F.transform("edges", merge), lambda e: e["inner"] != 0))).alias("merges")
     )
 
     def step(bounds: Column, _: Column) -> Column:
@@ -82,16 +94,20 @@ def encode_words(words: DataFrame, vocabulary: DataFrame, first_byte: int) -> Da
             "merges",
             lambda e: (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(bounds.bitwiseAND(e["inner"])) == 1),
         )
-        return F.coalesce(bounds.bitwiseAND(F.bitwise_not(F.get(fitting, F.lit(0))["inner"])), bounds)
+        merged = bounds.bitwiseAND(F.bitwise_not(F.get(fitting, F.lit(0))["inner"]))
+        return F.when(bounds < 0, bounds).otherwise(F.coalesce(merged, bounds.bitwiseOR(ended)))
 
+    # The sign tells that nothing can be merged any more.
+    ended = F.lit(-(1 << 63))
     whole = _bit(size + 1) - 1
-    bounds = F.aggregate(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), whole, step)
+    bounds = F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), whole, step)
     marked = lattice.select("word", *others, "edges", F.explode(F.array(bounds)).alias("bounds"))
     cuts = F.filter(F.sequence(F.lit(0), size), lambda at: F.getbit("bounds", at) == 1)
     marked = marked.select("*", F.explode(F.array(cuts)).alias("cuts"))
 
     def piece(start: Column, stop: Column) -> Column:
-        known = F.get(F.filter("edges", lambda e: (e["start"] == start) & (e["stop"] == stop)), F.lit(0))["id"]
+        same = F.filter("edges", lambda e: (place(e, 27) == start) & (place(e, 21) == stop))
+        known = F.get(same, F.lit(0)).bitwiseAND(F.lit((1 << 21) - 1).cast("long")).cast("int")
         letter = F.hex(F.encode(F.col("word").substr(start + 1, stop - start), "UTF-8"))
         letters = F.transform(
             F.sequence(F.lit(0), (F.length(letter) / 2).cast("int") - 1),
@@ -137,20 +153,15 @@ def encode(
     def post(table: pa.Table) -> pa.Table:
         found: set[str] = set()
         for text in texts(table["text"]):
-            found.update(words_of(text))
+            found.update(word for word in words_of(text) if len(word) <= LATTICE_CHARS)
         block = pa.array(np.full(len(found), table["block"][0].as_py()), pa.int32())
         return pa.table([block, pa.array(list(found), pa.string())], names=["block", "word"])
 
-    def by_library(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = _loaded(model).encode([word[1:].replace(SPACE, " ") for word in part.column(0).to_pylist()])
-        ids = pa.array(found, pa.list_(pa.int32()))
-        return pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids], names=["word", "blocks", "ids"])
-
     def put_together(table: pa.Table, words: pa.Table) -> pa.Table:
         found = pa.concat_arrays([*words["ids"].chunks, pa.array([], pa.list_(pa.int32()))])
         values = np.asarray(found.flatten())
         ends = np.cumsum(np.asarray(found.value_lengths())).tolist()
-        known, start = {}, 0
+        known, start = _Known(model), 0
         for word, end in zip(words["word"].to_pylist(), ends, strict=True):
             known[word] = values[start:end].tobytes()
             start = end
@@ -161,11 +172,11 @@ def encode(
 
     grouped = dealt.groupBy("block")
     posted = grouped.applyInArrow(post, "block int, word string")
-    words = posted.groupBy("word").agg(F.collect_list("block").alias("blocks"))
-    short = F.length("word") <= LATTICE_CHARS
-    encoded = encode_words(words.where(short), piece_table(spark, model), first_byte)
-    rest = words.where(~short).mapInArrow(per_batch(by_library), "word string, blocks array<int>, ids array<int>")
-    replies = encoded.unionByName(rest).select(F.explode("blocks").alias("block"), "word", "ids")
+    # A word has many edges, so words are dealt more finely than texts.
+    dealt_words = posted.repartition(4 * count, "word")
+    words = dealt_words.groupBy("word").agg(F.collect_list("block").alias("blocks"))
+    encoded = encode_words(words, piece_table(spark, model), first_byte)
+    replies = encoded.select(F.explode("blocks").alias("block"), "word", "ids")
     kind = dealt.schema["kept"].dataType.simpleString()
     return grouped.cogroup(replies.groupBy("block")).applyInArrow(
         put_together, f"doc_id long, ids array<int>, kept {kind}"
@@ -181,6 +192,19 @@ def _loaded(model: str):
     return _models[model]
 
 
+class _Known(dict):
+    """Ids of words as bytes; a word too long for the lattice is encoded by the library."""
+
+    def __init__(self, model: str):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> bytes:
+        ids = _loaded(self.model).encode(word[1:].replace(SPACE, " "))
+        self[word] = found = np.array(ids, np.int32).tobytes()
+        return found
+
+
 def decode(encoded: DataFrame, model: str, *, ids_column: str = "ids") -> DataFrame:
     """Add ``decoded``, the text of the ids: pieces put together, shown blanks and the first one undone.
 
