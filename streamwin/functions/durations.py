@@ -19,15 +19,20 @@ _UNIT_MICROS = {
     "day": 86_400_000_000,
     "week": 604_800_000_000,
 }
+_SHORT = {"min": "minute", "sec": "second"}
 _TERM = re.compile(r"(\d+)\s+([a-z]+)\s*")
 
 
-def bound_minutes(text: str) -> int:
-    """Whole minutes of a delay bound such as ``"30 seconds"`` or ``"2 hours"``.
+def bound_minutes(text: str, unit_compat: bool = False) -> int:
+    """Whole minutes of a delay bound such as ``"30 seconds"`` or ``"1 hour 30 minutes"``.
 
-    Seconds round down but never below one minute, an unknown unit counts as
-    minutes, and anything that is not one number and one unit is 5 minutes.
+    Seconds round down but never below one minute; what is no fixed-length
+    interval is an error. ``unit_compat`` keeps the recorded rules: an unknown
+    unit counts as minutes, and anything that is not one number and one unit is
+    5 minutes.
     """
+    if not unit_compat:
+        return max(1, interval_micros(text) // _UNIT_MICROS["minute"])
     words = text.split()
     if len(words) != 2 or not words[0].isdigit():
         return FALLBACK_MINUTES
@@ -46,6 +51,7 @@ def interval_micros(text: str) -> int:
     while at < len(rest):
         term = _TERM.match(rest, at)
         unit = term and term.group(2).removesuffix("s")
+        unit = _SHORT.get(unit, unit)
         if unit not in _UNIT_MICROS:
             raise ValueError(f"not a fixed-length interval: {text!r}")
         total += int(term.group(1)) * _UNIT_MICROS[unit]

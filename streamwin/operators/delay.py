@@ -110,7 +110,7 @@ def delay_minutes(
     assumed = _COMPAT_ASSUMED if unit_compat else ASSUMED_DELAY_SECONDS
     known = F.coalesce(F.nullif(p95.cast("double"), F.lit(0.0)), F.lit(float(assumed)))
     raw = (known / per_minute * SAFETY_FACTOR).cast("bigint")
-    floor, ceiling = F.lit(bound_minutes(min_delay)), F.lit(bound_minutes(max_delay))
+    floor, ceiling = F.lit(bound_minutes(min_delay, unit_compat)), F.lit(bound_minutes(max_delay, unit_compat))
     return F.least(F.greatest(raw, floor), ceiling)
 
 

@@ -37,7 +37,9 @@ def session(
     and merging cells gives the same sessions as merging events. Cells combine
     before the shuffle and spread a busy key over all tasks; what then meets on
     the key is bounded by the time covered, not by the number of events. With a
-    timeout per event, a cell holds the events of one timeout. ``cells=False``
+    timeout per event, events are parted by the power of two below their
+    timeout, which is also the width of their cells: at most four cells for
+    each smallest timeout covered, whatever the timeouts. ``cells=False``
     merges the events themselves, which saves a shuffle where nearly every
     session is a single event. A stream always does so, and its output mode has
     to be append or complete.
@@ -56,6 +58,7 @@ def session(
 
 
 def _merge_cells(events: DataFrame, gap: str | Column, keys, measures: Measures, event_time: str) -> DataFrame:
+    micros = F.unix_micros(event_time)
     if isinstance(gap, str):
         cell = [F.window(event_time, gap)["start"].alias("_cell")]
         timeout = F.lit(interval_micros(gap))
@@ -65,12 +68,13 @@ def _merge_cells(events: DataFrame, gap: str | Column, keys, measures: Measures,
         lasting = F.unix_micros("_alone.end") - F.unix_micros("_alone.start")
         events = alone.withColumn("_timeout", lasting).drop("_alone")
         timeout = F.col("_timeout")
-        micros = F.unix_micros(event_time)
-        cell = [timeout, ((micros - F.pmod(micros, timeout)) / timeout).cast("bigint").alias("_cell")]
+        # Cells as wide as the power of two below the timeout: two events of one
+        # are closer than either lasts.
+        power = (F.length(F.bin(timeout)) - 1).cast("int")
+        cell = [power.alias("_power"), F.call_function("shiftright", micros, power).alias("_cell")]
     cells = events.groupBy(*cell, *keys).agg(
-        F.min(event_time).alias("_first"), F.max(event_time).alias("_last"), *measures.partial()
+        F.min(event_time).alias("_first"), F.max(micros + timeout).alias("_until"), *measures.partial()
     )
-    # A cell lasts until one timeout after its last event.
-    open_micros = F.unix_micros("_last") - F.unix_micros("_first") + timeout
+    open_micros = F.col("_until") - F.unix_micros("_first")
     open_for = F.make_interval(secs=open_micros.cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)"))
     return cells.groupBy(F.session_window("_first", open_for).alias("window"), *keys).agg(*measures.merged())

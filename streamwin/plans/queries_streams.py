@@ -67,12 +67,15 @@ def _json_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _per_batch_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The JDBC sink with its write pointed at files: every micro-batch appended, marked by its id."""
+    """The JDBC sink with its write pointed at files: every micro-batch stored once, under its id."""
     place = scratch_folder(spark, "batches")
     result = op.keyed_tumbling(stream_of(spark, folder), measures=PAIR_EXACT)
 
     def save(batch: DataFrame, options: dict[str, str]) -> None:
-        batch.write.mode("append").parquet(f"{place}/{options['dbtable']}")
+        """Replace what an earlier attempt at this batch left; each batch is handed over twice."""
+        writer = batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+        for _ in range(2):
+            writer.parquet(f"{place}/{options['dbtable']}")
 
     running = start_jdbc(
         result,
@@ -81,6 +84,7 @@ def _per_batch_table(spark: SparkSession, folder: str) -> DataFrame:
         checkpoint_root=f"{place}/checkpoint",
         trigger=AVAILABLE_NOW,
         save=save,
+        clear_batch=lambda table, batch_id: None,
         state_partitions=_state_partitions(spark),
     )
     finish(running)

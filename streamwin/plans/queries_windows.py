@@ -84,15 +84,26 @@ def _personal_gap(events: DataFrame, cells: bool | None = None) -> DataFrame:
     return op.session(events, gap, measures=FULL_EXACT, cells=cells)
 
 
-_PERSONAL_GAP_SQL = f"""
+def _many_gaps(events: DataFrame, cells: bool | None = None) -> DataFrame:
+    """A timeout of its own for nearly every event, from a second up to an hour."""
+    seconds = F.floor(F.col("price") * 7919) % 3600 + 1
+    return op.session(events, F.concat(seconds.cast("string"), F.lit(" seconds")), measures=FULL_EXACT, cells=cells)
+
+
+def _gap_sql(gap: str) -> str:
+    return f"""
 with {EVENTS},
-g as (select *, event_time + case when symbol = 'purchase' then interval '45 minutes' else interval '20 minutes' end as until from v),
+g as (select *, event_time + {gap} as until from v),
 p as (select *, max(until) over (partition by user_id order by event_time, until rows between unbounded preceding and 1 preceding) as reach from g),
 s as (select *, sum(case when reach is null or event_time > reach then 1 else 0 end) over (partition by user_id order by event_time, until rows unbounded preceding) as sid from p)
 select user_id, min(event_time) as session_start, max(until) as session_end, {FULL_SQL} from s group by user_id, sid
 """
 
 
+_PERSONAL_GAP_SQL = _gap_sql("case when symbol = 'purchase' then interval '45 minutes' else interval '20 minutes' end")
+_MANY_GAPS_SQL = _gap_sql("to_seconds(cast(floor(price * 7919) as bigint) % 3600 + 1)")
+
+
 def _delay_stats(spark: SparkSession, folder: str) -> DataFrame:
     return op.delay_stats(events_of(spark, folder), as_of=LATE_AS_OF, suffix="ms")
 
@@ -150,6 +161,7 @@ QUERIES = {
     "window_session_direct": _over_events(lambda ev: op.session(ev, measures=FULL_EXACT, cells=False)),
     "window_session_10min": _over_events(lambda ev: op.session(ev, "10 minutes", measures=FULL_EXACT)),
     "window_session_personal_gap": _over_events(_personal_gap),
+    "window_session_many_gaps": _over_events(_many_gaps),
     "window_session_personal_gap_direct": _over_events(lambda ev: _personal_gap(ev, cells=False)),
     "window_hybrid": _over_events(lambda ev: op.hybrid(ev, measures=FULL_EXACT)),
     "window_hybrid_union": _over_events(lambda ev: op.hybrid(ev, measures=FULL_EXACT, shared=False)),
@@ -192,6 +204,7 @@ ORACLES = {
     "window_session_direct": session_sql("30 minutes", FULL_SQL, "user_id"),
     "window_session_10min": session_sql("10 minutes", FULL_SQL, "user_id"),
     "window_session_personal_gap": _PERSONAL_GAP_SQL,
+    "window_session_many_gaps": _MANY_GAPS_SQL,
     "window_session_personal_gap_direct": _PERSONAL_GAP_SQL,
     "window_hybrid": hybrid_sql(),
     "window_hybrid_union": hybrid_sql(),

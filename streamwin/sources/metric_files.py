@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import METRIC_SCHEMA
+from ..streaming.runs import session_conf
 from .files import TIMESTAMP_FORMAT
 
 # The metrics kept and the one whose reading is text.
 METRICS = ("latency", "throughput", "memory", "watermark_delays")
 TEXT_METRIC = "watermark_delays"
 
-_CSV_SCHEMA = "timestamp timestamp, window_type string, reading string"
+_FLAT_SCHEMA = "timestamp timestamp, window_type string, reading string"
+_RUN_SCHEMA = "timestamp timestamp, window_type string, value double, label string, metric string, run string"
+_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 def write_metrics(samples: DataFrame, path: str, run: str) -> None:
@@ -23,10 +28,9 @@ def write_metrics(samples: DataFrame, path: str, run: str) -> None:
     Runs are named so that the latest sorts last, for example by their start
     time ``20250101_120000``. Writing a run again replaces it.
     """
-    reading = F.coalesce(F.col("label"), F.col("value").cast("string")).alias("reading")
-    rows = samples.select("timestamp", "window_type", reading, "metric", F.lit(run).alias("run"))
+    rows = samples.select("timestamp", "window_type", "value", "label", "metric", F.lit(run).alias("run"))
     (
-        rows.write.mode("overwrite")
+        rows.repartition("metric").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("metric", "run")
         .option("header", True)
@@ -36,16 +40,22 @@ def write_metrics(samples: DataFrame, path: str, run: str) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The latest run of every metric written by :func:`write_metrics`."""
-    files = _listing(spark, path)
-    parts = files.select(
-        F.regexp_extract("path", r"/metric=([^/]+)/", 1).alias("metric"),
-        F.regexp_extract("path", r"/run=([^/]+)/", 1).alias("run"),
-    )
-    newest = parts.groupBy("metric").agg(F.max("run").alias("run"))
+    """The latest run of every metric written by :func:`write_metrics`, runs compared as text.
+
+    Names are those written, whatever letters they hold: they come from the
+    partition columns. A listing without file contents tells the latest runs.
+    """
+    with session_conf(spark, {_INFERENCE: "false"}):
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    if not {"metric", "run"} <= set(listing.columns):
+        return spark.createDataFrame([], METRIC_SCHEMA)
     # One row per metric name.
-    folders = [f"{path}/metric={row.metric}/run={row.run}" for row in newest.collect()]
-    return _load(spark, folders, F.regexp_extract(F.col("_metadata.file_path"), r"/metric=([^/]+)/", 1))
+    newest = listing.groupBy("metric").agg(F.max("run").alias("run")).collect()
+    if not newest:
+        return spark.createDataFrame([], METRIC_SCHEMA)
+    chosen = [(F.col("metric") == row["metric"]) & (F.col("run") == row["run"]) for row in newest]
+    rows = spark.read.schema(_RUN_SCHEMA).option("header", True).csv(path)
+    return rows.where(reduce(or_, chosen)).select(*METRIC_SCHEMA.names)
 
 
 def read_flat_metrics(spark: SparkSession, path: str, metrics: Sequence[str] = METRICS) -> DataFrame:
@@ -71,7 +81,7 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
 def _load(spark: SparkSession, paths: list[str], metric) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], METRIC_SCHEMA)
-    rows = spark.read.schema(_CSV_SCHEMA).option("header", True).csv(paths).withColumn("metric", metric)
+    rows = spark.read.schema(_FLAT_SCHEMA).option("header", True).csv(paths).withColumn("metric", metric)
     is_text = F.col("metric") == TEXT_METRIC
     return rows.select(
         "metric",

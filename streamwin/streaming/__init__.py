@@ -1,4 +1,4 @@
-from .progress import late_rows, progress_samples, progress_table
+from .progress import ProgressLog, late_rows, progress_samples, progress_table, record_progress
 from .runs import SCALE_CONF, finish, run_for, session_conf, start_at_scale
 from .writers import (
     AVAILABLE_NOW,
@@ -21,9 +21,11 @@ __all__ = [
     "console_writer",
     "finish",
     "jdbc_batch_writer",
+    "ProgressLog",
     "late_rows",
     "memory_writer",
     "progress_samples",
+    "record_progress",
     "progress_table",
     "run_for",
     "session_conf",

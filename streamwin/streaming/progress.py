@@ -1,38 +1,107 @@
-"""Progress of running queries as metric samples."""
+"""Progress of running queries as metric samples, every micro-batch of it."""
 
 from __future__ import annotations
 
+import json
+import threading
+import time
 from datetime import datetime, timezone
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..schema import METRIC_SCHEMA
 
+_logs: WeakKeyDictionary[SparkSession, ProgressLog] = WeakKeyDictionary()
 
-def progress_samples(query: StreamingQuery, window_type: str, watermark_delay: str = "unknown") -> list[tuple]:
-    """Samples of each recent micro-batch, in the order of ``METRIC_SCHEMA``.
 
-    Latency is the duration of the batch in seconds, throughput its input rows
-    per second, memory the state store's size in MB. ``elapsed`` is the age of
-    the query at that batch. Spark keeps a fixed number of recent batches.
+class ProgressLog(StreamingQueryListener):
+    """Keeps a few numbers of every micro-batch of every query started after it was attached.
+
+    A query itself remembers only its latest batches.
     """
-    samples: list[tuple] = []
-    first: datetime | None = None
-    for batch in query.recentProgress:
-        at = datetime.fromisoformat(batch["timestamp"].replace("Z", "+00:00")).astimezone(timezone.utc)
-        first = first or at
+
+    def __init__(self):
+        self._changed = threading.Condition()
+        self._started: dict[str, datetime] = {}
+        self._batches: dict[str, list[dict]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        with self._changed:
+            self._started[str(event.runId)] = _time(event.timestamp)
+
+    def onQueryProgress(self, event) -> None:
+        batch = json.loads(event.progress.json)
         states = batch["stateOperators"]
-        readings = {
+        kept = {
+            "batch": batch["batchId"],
+            "at": _time(batch["timestamp"]),
             "latency": batch["durationMs"].get("triggerExecution", 0) / 1000.0,
-            "throughput": batch["processedRowsPerSecond"],
+            "throughput": batch.get("processedRowsPerSecond"),
             "memory": sum(state["memoryUsedBytes"] for state in states) / 2.0**20,
             "input_rows": batch["numInputRows"],
             "late_rows": sum(state["numRowsDroppedByWatermark"] for state in states),
-            "elapsed": (at - first).total_seconds(),
         }
-        samples += [(name, at, window_type, float(value or 0.0), None) for name, value in readings.items()]
-        samples.append(("watermark_delays", at, window_type, None, watermark_delay))
+        with self._changed:
+            self._batches.setdefault(batch["runId"], []).append(kept)
+            self._changed.notify_all()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def batches(self, query: StreamingQuery, timeout: float = 30.0) -> list[dict]:
+        """All batches of a query so far, once its last one has arrived here."""
+        run, last, until = str(query.runId), query.lastProgress, time.monotonic() + timeout
+        with self._changed:
+            while last is not None:
+                known = self._batches.get(run, [])
+                if known and (known[-1]["batch"], known[-1]["at"]) >= (last["batchId"], _time(last["timestamp"])):
+                    break
+                if not self._changed.wait(until - time.monotonic()) and time.monotonic() >= until:
+                    raise RuntimeError("the progress of this query was not recorded; call record_progress before it starts")
+            found = list(self._batches.get(run, []))
+            begun = self._started.get(run, found[0]["at"] if found else None)
+        return [{**batch, "elapsed": (batch["at"] - begun).total_seconds()} for batch in found]
+
+
+def _time(text: str) -> datetime:
+    return datetime.fromisoformat(text.replace("Z", "+00:00")).astimezone(timezone.utc)
+
+
+def record_progress(spark: SparkSession) -> ProgressLog:
+    """Attach a log to the session, once. The writers of this package do so before a query starts."""
+    if spark not in _logs:
+        log = ProgressLog()
+        spark.streams.addListener(log)
+        _logs[spark] = log
+    return _logs[spark]
+
+
+def _batches(query: StreamingQuery) -> list[dict]:
+    spark = SparkSession.getActiveSession()
+    logs = [_logs[spark]] if spark in _logs else list(_logs.values())
+    if not logs:
+        raise RuntimeError("no progress was recorded; call record_progress before the query starts")
+    return logs[0].batches(query)
+
+
+def progress_samples(query: StreamingQuery, window_type: str, watermark_delay: str = "unknown") -> list[tuple]:
+    """Samples of each micro-batch of the run, in the order of ``METRIC_SCHEMA``.
+
+    Latency is the duration of the batch in seconds, throughput its input rows
+    per second, memory the state store's size in MB. ``elapsed`` is the time
+    from the start of the query to that batch.
+    """
+    samples: list[tuple] = []
+    for batch in _batches(query):
+        for name in ("latency", "throughput", "memory", "input_rows", "late_rows", "elapsed"):
+            samples.append((name, batch["at"], window_type, float(batch[name] or 0.0), None))
+        samples.append(("watermark_delays", batch["at"], window_type, None, watermark_delay))
     return samples
 
 
@@ -42,7 +111,5 @@ def progress_table(spark: SparkSession, samples: list[tuple]) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as too late in the recent micro-batches."""
-    return sum(
-        state["numRowsDroppedByWatermark"] for batch in query.recentProgress for state in batch["stateOperators"]
-    )
+    """Rows dropped as too late in the whole run."""
+    return sum(batch["late_rows"] for batch in _batches(query))

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from .progress import record_progress
+
 # State lives in RocksDB, which outgrows memory and checkpoints only changes, and
 # events of one session that meet in a task are merged before the shuffle, so a
 # busy key sends its sessions and not its events.
@@ -47,6 +49,7 @@ def start_at_scale(
     partition, so a query with few keys is better off with fewer. The number is
     fixed by the first start on a checkpoint, as is the kind of state store.
     """
+    record_progress(spark)
     conf = {name: value for name, value in SCALE_CONF.items() if spark.conf.get(name, None) is None}
     if state_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(state_partitions)

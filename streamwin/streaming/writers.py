@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from .progress import record_progress
 from .runs import start_at_scale
 
-# Trigger intervals and the places used when none are named.
+# Trigger intervals.
 BUILDER_TRIGGER = "10 seconds"
 FILE_TRIGGER = "30 seconds"
 JDBC_TRIGGER = "10 seconds"
-CHECKPOINT_ROOT = "checkpoint"
-DEFAULT_QUERY = "default_query"
 
 # Output modes Spark accepts for each kind of plan. Sessions and chained
 # aggregations cannot report updates.
@@ -28,10 +27,12 @@ OUTPUT_MODES = {
 
 AVAILABLE_NOW = {"availableNow": True}
 
+_ROOT = "spark.sql.streaming.checkpointLocation"
 
-def set_checkpoint_root(spark: SparkSession, path: str = CHECKPOINT_ROOT) -> str:
+
+def set_checkpoint_root(spark: SparkSession, path: str) -> str:
     """Keep the checkpoints of this session's queries below ``path``, a folder all executors share."""
-    spark.conf.set("spark.sql.streaming.checkpointLocation", path)
+    spark.conf.set(_ROOT, path)
     return path
 
 
@@ -45,21 +46,30 @@ def checkpointed_writer(
     """A writer with output mode, checkpoint, trigger and name set, not yet started.
 
     ``trigger`` is a processing-time interval, the keywords of
-    ``DataStreamWriter.trigger``, or ``None`` for back-to-back batches.
+    ``DataStreamWriter.trigger``, or ``None`` for back-to-back batches. Without
+    a checkpoint folder the query needs a name, and its checkpoint lies under
+    that name below the session's checkpoint root. Start the writer with
+    ``start_at_scale`` to have the settings for large state.
     """
-    name = query_name or DEFAULT_QUERY
-    writer = result.writeStream.outputMode(output_mode).queryName(name)
-    writer = writer.option("checkpointLocation", checkpoint_dir or f"{CHECKPOINT_ROOT}/{name}")
-    return _triggered(writer, trigger)
+    record_progress(result.sparkSession)
+    if checkpoint_dir is None:
+        root = result.sparkSession.conf.get(_ROOT, None)
+        if not root or not query_name:
+            raise ValueError("name a checkpoint folder, or the query below a root set by set_checkpoint_root")
+        checkpoint_dir = f"{root}/{query_name}"
+    writer = result.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint_dir)
+    return _triggered(writer.queryName(query_name) if query_name else writer, trigger)
 
 
 def console_writer(result: DataFrame, output_mode: str = "update", query_name: str = "console_output") -> DataStreamWriter:
     """Print every batch in full, for looking at a stream during development."""
+    record_progress(result.sparkSession)
     return result.writeStream.outputMode(output_mode).format("console").option("truncate", False).queryName(query_name)
 
 
 def memory_writer(result: DataFrame, table_name: str, output_mode: str = "update") -> DataStreamWriter:
     """Keep the result as a table in the driver's memory: for small results and tests only."""
+    record_progress(result.sparkSession)
     return result.writeStream.outputMode(output_mode).format("memory").queryName(table_name)
 
 
@@ -111,14 +121,18 @@ def jdbc_batch_writer(
     clear_batch: Callable[[str, int], None] | None = None,
     save: Callable[[DataFrame, dict[str, str]], None] | None = None,
     batch_column: str | None = "batch_id",
+    at_least_once: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """What a JDBC sink does with a micro-batch: append it, marked with its number.
 
     After a failure Spark hands the same batch over again. ``clear_batch``,
     given the table and the number, deletes what an earlier attempt left, so
-    that the batch is stored once. ``batch_column=None`` writes to a table that
-    has no column for the number. ``save`` replaces the JDBC write.
+    that the batch is stored once. Without it the caller has to accept rows
+    stored twice by ``at_least_once=True``. ``batch_column=None`` writes to a
+    table that has no column for the number. ``save`` replaces the JDBC write.
     """
+    if clear_batch is None and not at_least_once:
+        raise ValueError("pass clear_batch, or at_least_once=True if a batch may be stored twice")
     target = {**options, "dbtable": table}
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -141,10 +155,11 @@ def start_jdbc(
     clear_batch: Callable[[str, int], None] | None = None,
     save: Callable[[DataFrame, dict[str, str]], None] | None = None,
     batch_column: str | None = "batch_id",
+    at_least_once: bool = False,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to the table ``<window_type>_aggregations``. ``options`` holds url, user, driver and so on."""
-    write = jdbc_batch_writer(options, f"{window_type}_aggregations", clear_batch, save, batch_column)
+    write = jdbc_batch_writer(options, f"{window_type}_aggregations", clear_batch, save, batch_column, at_least_once)
     writer = result.writeStream.outputMode("append").foreachBatch(write)
     writer = writer.option("checkpointLocation", f"{checkpoint_root}/{window_type}")
     return start_at_scale(result.sparkSession, _triggered(writer, trigger), state_partitions)

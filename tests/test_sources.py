@@ -43,10 +43,10 @@ def test_json_files_keep_every_microsecond(spark, tmp_path):
 
 
 def test_times_without_a_zone_are_read_in_the_session_zone(spark, tmp_path):
-    (tmp_path / "a.json").write_text('{"event_time": "2025-04-27T17:14:51.128321", "symbol": "A"}\n')
+    (tmp_path / "a.json").write_text('{"event_time": "2023-02-03T04:05:06.070809", "symbol": "A"}\n')
     for schema in (EVENT_SCHEMA, None):
         row = read_events(spark, str(tmp_path / "a.json"), schema).first()
-        assert row.event_time == datetime(2025, 4, 27, 17, 14, 51, 128321)
+        assert row.event_time == datetime(2023, 2, 3, 4, 5, 6, 70809)
 
 
 def test_stream_options(spark, tmp_path):
@@ -157,11 +157,11 @@ def test_flat_metric_files_take_the_newest_of_each(spark, tmp_path):
         os.utime(tmp_path / name, (changed, changed))
 
     head = "timestamp,window_type,value\n"
-    file("latency_20250427_171651.csv", head + "2025-04-27T17:14:51.128321,Session Window,0.5\n", 1_000_000)
-    file("latency_20250427_212632.csv", head + "2025-04-27T21:21:40.046871,Tumbling Window,7.25\n", 2_000_000)
-    file("throughput_20250427_212632.csv", head + "2025-04-27T21:21:40.046871,Tumbling Window,0.25\n", 1_500_000)
-    file("throughput_20250101_000000.csv", head + "2025-04-27T21:21:40,Tumbling Window,9\n", 1_400_000)
-    file("watermark_delays_1.csv", "timestamp,window_type,watermark_delay\n2025-04-27T21:21:40,Tumbling Window,10 minutes\n", 1)
+    file("latency_20230203_040000.csv", head + "2023-02-03T04:05:06.070809,Session Window,0.5\n", 1_000_000)
+    file("latency_20230203_090000.csv", head + "2023-02-03T08:09:10.111213,Tumbling Window,7.25\n", 2_000_000)
+    file("throughput_20230203_090000.csv", head + "2023-02-03T08:09:10.111213,Tumbling Window,0.25\n", 1_500_000)
+    file("throughput_20250101_000000.csv", head + "2023-02-03T08:09:10,Tumbling Window,9\n", 1_400_000)
+    file("watermark_delays_1.csv", "timestamp,window_type,watermark_delay\n2023-02-03T08:09:10,Tumbling Window,10 minutes\n", 1)
     file("notes_1.csv", head, 3_000_000)
     rows = read_flat_metrics(spark, str(tmp_path)).orderBy("metric").collect()
     assert [(r.metric, r.window_type, r.value, r.label) for r in rows] == [
@@ -169,7 +169,7 @@ def test_flat_metric_files_take_the_newest_of_each(spark, tmp_path):
         ("throughput", "Tumbling Window", 0.25, None),
         ("watermark_delays", "Tumbling Window", None, "10 minutes"),
     ]
-    assert rows[0].timestamp == datetime(2025, 4, 27, 21, 21, 40, 46871)
+    assert rows[0].timestamp == datetime(2023, 2, 3, 8, 9, 10, 111213)
 
 
 def test_no_metrics(spark, tmp_path):
@@ -201,3 +201,15 @@ def test_summary_of_runs(spark):
     row = metrics.run_summary(samples).first()
     assert tuple(row) == ("w", 1.5, 1.0, 2.0, pytest.approx(200 / 3), 60.0, 70.0)
     assert sorted(r.throughput for r in metrics.run_rates(samples).collect()) == [50.0, 100.0]
+
+
+def test_metrics_keep_names_and_both_readings(spark, tmp_path):
+    names = ["late rows", "p95:ms", "01", "a/b%20", "ü=x"]
+    samples = [(name, at("12:00"), "w", 1.5, "text") for name in names]
+    samples += [("latency", at("12:00"), "w", None, "only text"), ("latency", at("12:01"), "w", 2.0, None)]
+    write_metrics(spark.createDataFrame(samples, METRIC_SCHEMA), str(tmp_path / "m"), "20230101_000000")
+    write_metrics(spark.createDataFrame(samples[:2], METRIC_SCHEMA), str(tmp_path / "m"), "20230102_000000")
+    back = read_metrics(spark, str(tmp_path / "m")).collect()
+    assert sorted((r.metric, r.value or 0.0, r.label or "") for r in back) == sorted(
+        (name, value or 0.0, label or "") for name, _, _, value, label in samples
+    )

@@ -37,6 +37,7 @@ from streamwin.streaming import (
     late_rows,
     memory_writer,
     progress_samples,
+    session_conf,
     progress_table,
     run_for,
     set_checkpoint_root,
@@ -246,6 +247,37 @@ def test_the_writer_builder_names_and_places_its_query(spark, feed, tmp_path):
     assert (tmp_path / "cp" / "offsets" / "0").exists()
 
 
+def test_progress_keeps_every_batch(spark, feed, tmp_path):
+    """Six batches and more, of which the query itself remembers two."""
+    result = tumbling(feed([*LATE_CASE, ["12:41"], ["12:02"], ["12:50"], ["12:03"]]).stream(), measures=COUNT_ONLY)
+    with session_conf(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}):
+        query = run(result, tmp_path)
+    assert len(query.recentProgress) <= 2
+    assert late_rows(query) == 3
+    samples = progress_samples(query, "w")
+    assert sum(value for name, _, _, value, _ in samples if name == "input_rows") == 10
+    elapsed = [value for name, _, _, value, _ in samples if name == "elapsed"]
+    assert elapsed == sorted(elapsed) and len(elapsed) >= 7
+    took = [value for name, _, _, value, _ in samples if name == "latency"]
+    assert elapsed[-1] >= sum(took[:-1]) * 0.9
+
+
+def test_writers_use_the_session_root(spark, feed, tmp_path):
+    result = tumbling(feed([["12:00"]]).stream(), measures=COUNT_ONLY)
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpointed_writer(result, query_name="unrooted")
+    with session_conf(spark, {"spark.sql.streaming.checkpointLocation": f"{tmp_path}/root"}):
+        with pytest.raises(ValueError, match="checkpoint"):
+            checkpointed_writer(result)
+        finish(checkpointed_writer(result, query_name="below", trigger=AVAILABLE_NOW).format("noop").start())
+    assert (tmp_path / "root" / "below" / "commits").exists()
+
+
+def test_jdbc_needs_a_word_on_replays():
+    with pytest.raises(ValueError, match="at_least_once"):
+        jdbc_batch_writer({}, "t")
+
+
 def test_checkpoint_root(spark, feed, tmp_path):
     before = spark.conf.get("spark.sql.streaming.checkpointLocation", None)
     try:
@@ -312,7 +344,8 @@ def test_jdbc_sink_appends_each_batch_to_its_table(feed, tmp_path):
     result = keyed_tumbling(feed(LATE_CASE).stream())
     options = {"url": "jdbc:postgresql://db/stream", "user": "writer"}
     query = start_jdbc(
-        result, "session", options=options, checkpoint_root=str(tmp_path), trigger=AVAILABLE_NOW, save=table.save
+        result, "session", options=options, checkpoint_root=str(tmp_path), trigger=AVAILABLE_NOW, save=table.save,
+        at_least_once=True,
     )
     finish(query)
     assert table.targets[0] == {**options, "dbtable": "session_aggregations"}
@@ -330,13 +363,13 @@ def test_a_batch_handed_over_again_is_stored_once(spark):
 
 def test_a_table_without_batch_numbers(spark):
     table = Table()
-    jdbc_batch_writer({}, "t", save=table.save, batch_column=None)(spark.range(2), 7)
+    jdbc_batch_writer({}, "t", save=table.save, batch_column=None, at_least_once=True)(spark.range(2), 7)
     assert [row.asDict() for row in table.rows] == [{"id": 0}, {"id": 1}]
 
 
 def test_jdbc_options_reach_the_writer(spark, monkeypatch):
     """Without a driver on the class path the write fails at loading it, which shows the options arrive."""
-    write = jdbc_batch_writer({"url": "jdbc:postgresql://h/db", "driver": "org.postgresql.Driver"}, "t")
+    write = jdbc_batch_writer({"url": "jdbc:postgresql://h/db", "driver": "org.postgresql.Driver"}, "t", at_least_once=True)
     with pytest.raises(Exception, match="org.postgresql.Driver"):
         write(spark.range(1), 0)
 
@@ -410,6 +443,7 @@ def test_symbol_strategies_decode_and_start(spark, feed, tmp_path):
             checkpoint_root=str(tmp_path),
             trigger=AVAILABLE_NOW,
             save=tables[name].save,
+            clear_batch=tables[name].clear,
         )
 
     for query in start_symbol_strategies(messages, to_table).values():

@@ -258,3 +258,17 @@ def test_exact_averages_do_not_depend_on_the_partitioning(trades):
     rows = [("12:00", "u", 0.1 * n, 1) for n in range(200)]
     sums = {tumbling(trades(*rows).repartition(n), measures=COUNT_AND_AVERAGE.exact()).first().avg_price for n in (1, 3, 7)}
     assert len(sums) == 1
+
+
+def test_cells_of_many_timeouts_stay_few(spark):
+    """A busy key with a timeout of its own for every event: four cells at most for each smallest timeout."""
+    events = spark.range(20_000).selectExpr(
+        "timestamp_micros(1700000000000000 + id * 1000003) as event_time",
+        "concat(1200000000 + (id * 7919) % 1500000000, ' microseconds') as gap",
+        "'u' as user_id",
+    )
+    found = session(events, F.col("gap"), measures=COUNT_ONLY)
+    assert [row.event_count for row in found.collect()] == [20_000]
+    cells = events.selectExpr("length(bin(cast(split(gap, ' ')[0] as bigint))) - 1 as p", "unix_micros(event_time) as t")
+    count = cells.selectExpr("p", "shiftright(t, p)").distinct().count()
+    assert count <= 4 * 20_000 / 1200 + 3
