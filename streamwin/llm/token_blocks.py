@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import id_and_text, partitions, slices, texts
+from .text import id_and_text, partitions, slices, utf8
 
 BLOCK = 128
 PERCENTILES = (75, 90, 97, 100)
@@ -41,8 +42,8 @@ SEGMENT_SCHEMA = (
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
-    """Bits that each value needs."""
-    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
+    """Bits that each value needs, as bytes, which sort fastest."""
+    return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -56,7 +57,7 @@ def pack(ids: np.ndarray) -> bytes:
     smallest = grid.min(axis=1, initial=1 << 32) if blocks else np.zeros(0, np.int64)
     grid -= smallest[:, None]
     need = np.sort(_widths(grid), axis=1)
-    options = need[:, [BLOCK * p // 100 - 1 for p in PERCENTILES]]
+    options = need[:, [BLOCK * p // 100 - 1 for p in PERCENTILES]].astype(np.int64)
     over = np.stack([(need > options[:, [k]]).sum(axis=1) for k in range(len(PERCENTILES))], axis=1)
     best = np.argmin(options * (BLOCK // 8) + over * _PATCH.itemsize, axis=1)
     width = np.take_along_axis(options, best[:, None], 1)[:, 0]
@@ -72,8 +73,9 @@ def pack(ids: np.ndarray) -> bytes:
     payload = np.zeros(int(sizes.sum()), np.uint8)
     for bits in np.unique(width[width > 0]):
         same = np.flatnonzero(width == bits)
-        low = (grid[same][:, :, None] >> np.arange(bits)) & 1
-        packed = np.packbits(low.astype(np.uint8).reshape(len(same), -1), axis=1, bitorder="little")
+        letters = grid[same].astype("<u4").view(np.uint8).reshape(len(same), BLOCK, 4)
+        low = np.unpackbits(letters, axis=2, count=int(bits), bitorder="little")
+        packed = np.packbits(low.reshape(len(same), -1), axis=1, bitorder="little")
         payload[index["payload"][same].astype(np.int64)[:, None] + np.arange(packed.shape[1])] = packed
     head = np.array([(count, blocks, len(patches), len(payload))], _HEAD)
     return b"".join((_MAGIC, head.tobytes(), index.tobytes(), payload.tobytes(), patches.tobytes()))
@@ -102,7 +104,9 @@ class Segment:
             same = np.flatnonzero(width == bits)
             at = part["payload"][same].astype(np.int64)[:, None] + np.arange(int(bits) * BLOCK // 8)
             low = np.unpackbits(self.payload[at], axis=1, bitorder="little").reshape(len(same), BLOCK, int(bits))
-            grid[same] = low @ (1 << np.arange(int(bits), dtype=np.int64))
+            wide = np.zeros((len(same), BLOCK, 32), np.uint8)
+            wide[:, :, : int(bits)] = low
+            grid[same] = np.packbits(wide, axis=2, bitorder="little").view("<u4")[:, :, 0]
         bounds = np.r_[self.index["exceptions"], len(self.patches)].astype(np.int64)
         patches = self.patches[bounds[first] : bounds[last]]
         rows = np.repeat(np.arange(len(part)), np.diff(bounds[first : last + 1]))
@@ -166,16 +170,14 @@ class WordEncoder:
     letters and its closing marks.
     """
 
-    CACHED_WORDS = 600_000
+    CACHED_WORDS = 500_000
+    CACHED_PARTS = 900_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parted = self._encode(["Ab.,"])[0].tolist() == self._encode(["ab", ".,"])[0].tolist()
-        self._forget()
-
-    def _forget(self) -> None:
         self.words, self.word_ids = _Codes(), _Ragged()
         self.parts, self.part_ids = _Codes(), _Ragged()
 
@@ -184,6 +186,11 @@ class WordEncoder:
         owner = np.array([at for at in found.word_ids if at is not None], np.int64)
         return np.array(found.ids, "<u4"), np.bincount(owner, minlength=len(words))
 
+    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encode`` for small ASCII letters, which the library's normalizing and splitting leave as they are."""
+        found = [[token.id for token in self.tokenizer.model.tokenize(word)] for word in words]
+        return np.fromiter(chain.from_iterable(found), "<u4"), np.array([len(ids) for ids in found], np.int64)
+
     def _learn(self) -> None:
         """Ids of the words met for the first time, each made of one or two parts."""
         codes, sizes = [], []
@@ -201,21 +208,31 @@ class WordEncoder:
             sizes.append(1)
         self.words.fresh = []
         if self.parts.fresh:
-            self.part_ids.append(*self._encode([part.decode() for part in self.parts.fresh]))
+            fresh = [part.decode() for part in self.parts.fresh]
+            plain = np.array([self.parted and part.isascii() and part.isalpha() and part.islower() for part in fresh])
+            found = _Ragged()
+            found.append(*self._merge([fresh[at] for at in np.flatnonzero(plain)]))
+            found.append(*self._encode([fresh[at] for at in np.flatnonzero(~plain)]))
+            place = np.argsort(np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)])
+            self.part_ids.append(*found.gather(place))
             self.parts.fresh = []
         ids, counts = self.part_ids.gather(np.array(codes, np.int64))
         ends = np.r_[0, np.cumsum(counts)][np.r_[0, np.cumsum(sizes)]]
         self.word_ids.append(ids, np.diff(ends))
 
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
+    def encode(self, batch: list[bytes]) -> list[np.ndarray]:
+        """The ids of each UTF-8 text."""
         if len(self.words) > self.CACHED_WORDS:
-            self._forget()
-        cut = [text.encode().split() for text in batch]
-        codes = np.array([code for words in cut for code in map(self.words.__getitem__, words)], np.int64)
+            self.words, self.word_ids = _Codes(), _Ragged()
+        if len(self.parts) > self.CACHED_PARTS:
+            self.parts, self.part_ids = _Codes(), _Ragged()
+        cut = [text.split() for text in batch]
+        counts = np.cumsum([len(words) for words in cut])
+        codes = np.fromiter(map(self.words.__getitem__, chain.from_iterable(cut)), np.int64, counts[-1] if cut else 0)
         if self.words.fresh:
             self._learn()
         ids, sizes = self.word_ids.gather(codes)
-        bounds = np.r_[0, np.cumsum(sizes)][np.cumsum([len(words) for words in cut])] if cut else []
+        bounds = np.r_[0, np.cumsum(sizes)][counts] if cut else []
         return np.split(ids, bounds[:-1])
 
 
@@ -238,7 +255,7 @@ def _segments(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
     for part in slices(batches):
-        encoded = _encoders[vocabulary].encode(texts(part.column(1)))
+        encoded = _encoders[vocabulary].encode(utf8(part.column(1)))
         for doc_id, ids in zip(part.column(0).to_pylist(), encoded, strict=True):
             doc_ids.append(doc_id)
             parts.append(np.append(ids, np.uint32(end_id)))
