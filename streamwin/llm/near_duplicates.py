@@ -120,9 +120,10 @@ def links(docs: DataFrame, signatures: DataFrame) -> DataFrame:
     value are compared with those of the other parts, and with no others, so
     that a large group of copies is never compared with itself.
     """
-    coarse = _prefixes(signatures.select("doc_id", F.size("signature").cast("long").alias("size"), "signature"), "signature", MATCHES)
+    sized = signatures.select("doc_id", F.size("signature").cast("long").alias("size"), "signature")
+    coarse = _prefixes(sized, "signature", MATCHES)
     met = coarse.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-    partners = coarse.join(met, "value").select("doc_id").distinct()
+    partners = stored(coarse.join(met, "value").select("doc_id").distinct(), "partners")
     texts = id_and_text(docs).join(partners, "doc_id", "left_semi")
     sets = stored(texts.mapInArrow(per_batch(_full_sets), "doc_id long, size long, found array<long>"), "sets")
     postings = stored(_prefixes(sets, "found", SHARE), "postings")

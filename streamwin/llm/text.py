@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -44,10 +45,16 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Write a table to the folder all executors share and read it back.
 
     The plans built on it are short, and a lost executor costs no recomputation.
+    Spark deletes the shuffle files of a finished job when the driver collects
+    its garbage, which may be much later; so that long queries don't pile them
+    up, it is asked to do so here.
     """
-    folder = scratch_folder(frame.sparkSession, purpose)
+    spark = frame.sparkSession
+    folder = scratch_folder(spark, purpose)
     frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(frame.schema).parquet(folder)
 
 
 def importable(spark: SparkSession) -> None:
