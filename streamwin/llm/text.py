@@ -15,6 +15,14 @@ from ..plans.scratch import scratch_folder
 # A word is a run of anything but the ASCII blanks. ``bytes.split`` parts at the same ones.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Settings of the C allocator and of Arrow for Python workers.
+_ALLOCATION = {
+    "MALLOC_MMAP_THRESHOLD_": "1048576",
+    "MALLOC_TRIM_THRESHOLD_": "1048576",
+    "MALLOC_ARENA_MAX": "2",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
 # Rows turned into Python objects at a time, so that long texts don't pile up.
 ROWS_AT_ONCE = 512
 
@@ -58,12 +66,18 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers that share this machine's files import the library, installed or not."""
+    """Let Python workers that share this machine's files import the library, installed or not.
+
+    They also give freed arrays back at once: idle workers would otherwise keep
+    the memory of the largest block they have seen.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+    for name, value in _ALLOCATION.items():
+        environment.setdefault(name, value)
 
 
 def partitions(spark: SparkSession) -> int:
