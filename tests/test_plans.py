@@ -5,15 +5,14 @@ import re
 import pytest
 from conftest import TESTDATA
 
-import __spark_entry__ as entry_points
 from streamwin.functions import COUNT_ONLY
 from streamwin.operators import hybrid, metrics, multi_granularity, session, sliding, tumbling
-from streamwin.plans import batch_strategies, measure_all
+from streamwin.plans import batch_strategies, catalog, measure_all
 from streamwin.plans.queries_windows import events_of
 from streamwin.plans.scratch import scratch_folder
 
 FOLDER = f"{TESTDATA}/sf0.001"
-QUERIES = entry_points.queries()
+QUERIES = catalog.queries()
 BATCH = [name for name in QUERIES if not name.startswith(("stream_", "json_")) and name != "metrics_csv_round_trip"]
 WHOLE_TABLE = {"delay_stats", "adaptive_delay", "metrics_last_update", "window_adaptive", "window_adaptive_5min", "strategy_rows"}
 
