@@ -9,6 +9,7 @@ scored, leftmost is taken until there is none.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import partitions, per_batch, texts
+from .text import ROWS_AT_ONCE, partitions, per_batch, texts
 
 SPACE = "▁"
-# Boundaries of a word are bits of a long; the few longer words are encoded by the library.
+# Boundaries of a unit are bits of a long; the few longer words are encoded by the library.
 LATTICE_CHARS = 60
+# Stands for the id of a letter that is no piece. Ids take 21 bits.
+NO_PIECE = (1 << 21) - 1
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+# Lone surrogates, which no text has, end words and units.
+_WORD_END, _UNIT_END = "\ud800", "\ud801"
+_WORDS_AT_ONCE = 50_000
 
 
 def _processor(model: str):
@@ -30,36 +36,95 @@ def _processor(model: str):
     return sentencepiece.SentencePieceProcessor(model_file=model)
 
 
-def piece_table(spark: SparkSession, model: str) -> DataFrame:
-    """``piece, id, rank`` of the vocabulary's ordinary pieces, best first. Its size is that of the vocabulary."""
-    loaded = _processor(model)
-    ids = [
+def _ordinary(loaded) -> list[int]:
+    return [
         at
         for at in range(loaded.get_piece_size())
         if not (loaded.is_control(at) or loaded.is_unknown(at) or loaded.is_byte(at) or loaded.is_unused(at))
     ]
-    scores = {score: rank for rank, score in enumerate(sorted(map(loaded.get_score, ids), reverse=True))}
-    rows = [(loaded.id_to_piece(at), at, scores[loaded.get_score(at)]) for at in ids]
-    return spark.createDataFrame(rows, "piece string, id int, rank int")
+
+
+def piece_table(spark: SparkSession, model: str) -> DataFrame:
+    """``piece, id, rank, odd`` of the vocabulary's ordinary pieces, best first. Its size is that of the vocabulary.
+
+    Within a stretch whose ends are still boundaries, merges run as if it stood
+    alone. So whatever the word, a piece can only be made of the two parts it is
+    made of alone. It is odd if one of them does not rank before it.
+    """
+    loaded = _processor(model)
+    ids = _ordinary(loaded)
+    order = {score: rank for rank, score in enumerate(sorted(map(loaded.get_score, ids), reverse=True))}
+    ranks = {loaded.id_to_piece(at): order[loaded.get_score(at)] for at in ids}
+
+    def odd(piece: str) -> bool:
+        parts = list(piece)
+        while len(parts) > 2:
+            ranked = [(ranks.get(parts[at] + parts[at + 1], len(ranks)), at) for at in range(len(parts) - 1)]
+            rank, at = min(ranked)
+            if rank == len(ranks):
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return any(len(part) > 1 and ranks[part] >= ranks[piece] for part in parts)
+
+    rows = [(piece, loaded.piece_to_id(piece), rank, odd(piece)) for piece, rank in ranks.items()]
+    return spark.createDataFrame(rows, "piece string, id int, rank int, odd boolean")
 
 
 def words_of(text: str) -> list[str]:
-    """Parts of a text, its blanks shown, that no piece crosses. The first has a blank put before."""
-    return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    """Parts of a text that no piece crosses, its blanks shown, without the blank that leads each of them."""
+    if not text:
+        return []
+    if SPACE in text or "  " in text or text[-1] == " ":
+        return [word[1:] for word in _WORD.findall(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ")
+
+
+class Units:
+    """Parts words between letters that no piece has side by side, which merges therefore never join."""
+
+    def __init__(self, model: str):
+        loaded = _loaded(model)
+        pieces = [loaded.id_to_piece(at) for at in _ordinary(loaded)]
+        pairs = {(ord(one), ord(other)) for piece in pieces for one, other in zip(piece, piece[1:], strict=False)}
+        self.pairs = np.array(sorted((one << 21) + other for one, other in pairs), np.int64)
+
+    def parted(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
+        """Each word as given, and its units, of which the first has the leading blank."""
+        for start in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[start : start + _WORDS_AT_ONCE]
+            yield from zip(some, self._parted(some), strict=True)
+
+    def _parted(self, words: list[str]) -> list[list[str]]:
+        joined = SPACE + (_WORD_END + SPACE).join(words)
+        letters = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        both = (letters[:-1].astype(np.int64) << 21) + letters[1:]
+        at = np.minimum(np.searchsorted(self.pairs, both), max(len(self.pairs) - 1, 0))
+        beside = self.pairs[at] == both if len(self.pairs) else np.zeros(len(both), bool)
+        end = letters == ord(_WORD_END)
+        cuts = np.flatnonzero(~beside & ~end[:-1] & ~end[1:]) + 1
+        parted = np.insert(letters, cuts, ord(_UNIT_END)).tobytes().decode("utf-32-le", "surrogatepass")
+        return [word.split(_UNIT_END) for word in parted.split(_WORD_END)]
 
 
 def _bit(at: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int"))
 
 
+def _held(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once, however often it is used."""
+    return frame.select("*", F.explode(F.array(value)).alias(name))
+
+
 def encode_words(words: DataFrame, vocabulary: DataFrame, first_byte: int) -> DataFrame:
     """Add ``ids`` to a table of distinct words of at most 60 characters; other columns stay.
 
     Every substring that is a piece is an edge of the word's lattice. The edges
     of a word meet without a shuffle if the table is dealt by ``word``. The
     fold holds the boundaries left as bits; an edge can be taken if both its
-    ends are boundaries and just one lies between. A character that is no piece
-    becomes the pieces of its bytes.
+    ends are boundaries and just one lies between. If the parts of all edges
+    rank before them, one pass in the order of ranks takes the merges in turn;
+    a word with an odd edge is passed again for every merge. A character that
+    is no piece becomes the pieces of its bytes.
     """
     others = [name for name in words.columns if name != "word"]
     longest = vocabulary.agg(F.max(F.length("piece"))).first()[0] or 1
@@ -68,56 +133,76 @@ def encode_words(words: DataFrame, vocabulary: DataFrame, first_byte: int) -> Da
     spans = starts.withColumn(
         "stop", F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + longest, size)))
     ).withColumn("piece", F.col("word").substr(F.col("start") + 1, F.col("stop") - F.col("start")))
-    found = spans.join(F.broadcast(vocabulary), "piece", "left").where("id is not null or stop = 1")
+    found = spans.join(F.broadcast(vocabulary), "piece", "left").where("id is not null or stop = start + 1")
     # An edge is one number, so that edges sort by rank, then by start: rank, start, stop and id.
-    packed = F.call_function("shiftleft", F.col("rank").cast("long"), F.lit(33))
-    packed = packed + F.col("start").cast("long") * (1 << 27) + F.col("stop").cast("long") * (1 << 21) + F.col("id")
-    edges = found.groupBy("word").agg(
-        F.sort_array(F.collect_list(packed)).alias("edges"),
-        *(F.first(F.when((F.col("start") == 0) & (F.col("stop") == 1), F.col(name)), True).alias(name) for name in others),
+    packed = F.call_function("shiftleft", F.coalesce("rank", F.lit(0)).cast("long"), F.lit(33))
+    packed = packed + F.col("start").cast("long") * (1 << 27) + F.col("stop").cast("long") * (1 << 21)
+    once = (F.col("start") == 0) & (F.col("stop") == 1)
+    found = found.select(
+        "word",
+        (packed + F.coalesce("id", F.lit(NO_PIECE))).alias("edge"),
+        F.coalesce("odd", F.lit(False)).alias("odd"),
+        *(F.when(once, F.col(name)).alias(name) for name in others),
+    )
+    lattice = found.groupBy("word").agg(
+        F.sort_array(F.collect_list("edge")).alias("edges"),
+        F.max("odd").alias("odd"),
+        *(F.first(name, True).alias(name) for name in others),
     )
+
     def place(edge: Column, shift: int) -> Column:
         return F.shiftrightunsigned(edge, shift).bitwiseAND(F.lit(63).cast("long")).cast("int")
 
-    def merge(edge: Column) -> Column:
+    def bits(edge: Column) -> Column:
         start, stop = place(edge, 27), place(edge, 21)
         return F.struct(
-            _bit(start).bitwiseOR(_bit(stop)).alias("ends"), (_bit(stop) - _bit(start + 1)).alias("inner")
+            _bit(start).bitwiseOR(_bit(stop)).alias("ends"),
+            (_bit(stop) - _bit(start + 1)).alias("inner"),
+            edge.alias("edge"),
         )
 
-    lattice = edges.select(
-        "*", F.explode(F.array(F.filter(F.transform("edges", merge), lambda e: e["inner"] != 0))).alias("merges")
-    )
+    def fits(bounds: Column, e: Column, between: int) -> Column:
+        left = bounds.bitwiseAND(e["inner"])
+        return (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(left) == between)
 
-    def step(bounds: Column, _: Column) -> Column:
-        fitting = F.filter(
-            "merges",
-            lambda e: (bounds.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(bounds.bitwiseAND(e["inner"])) == 1),
-        )
-        merged = bounds.bitwiseAND(F.bitwise_not(F.get(fitting, F.lit(0))["inner"]))
-        return F.when(bounds < 0, bounds).otherwise(F.coalesce(merged, bounds.bitwiseOR(ended)))
+    def merged(bounds: Column, e: Column) -> Column:
+        return bounds.bitwiseAND(F.bitwise_not(e["inner"]))
+
+    def in_turn(bounds: Column, e: Column) -> Column:
+        return F.when(fits(bounds, e, 1), merged(bounds, e)).otherwise(bounds)
+
+    def best(bounds: Column, _: Column) -> Column:
+        first = F.get(F.filter("spans", lambda e: fits(bounds, e, 1)), F.lit(0))
+        return F.when(bounds < 0, bounds).otherwise(F.coalesce(merged(bounds, first), bounds.bitwiseOR(ended)))
 
     # The sign tells that nothing can be merged any more.
     ended = F.lit(-(1 << 63))
     whole = _bit(size + 1) - 1
-    bounds = F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), whole, step)
-    marked = lattice.select("word", *others, "edges", F.explode(F.array(bounds)).alias("bounds"))
-    cuts = F.filter(F.sequence(F.lit(0), size), lambda at: F.getbit("bounds", at) == 1)
-    marked = marked.select("*", F.explode(F.array(cuts)).alias("cuts"))
-
-    def piece(start: Column, stop: Column) -> Column:
-        same = F.filter("edges", lambda e: (place(e, 27) == start) & (place(e, 21) == stop))
-        known = F.get(same, F.lit(0)).bitwiseAND(F.lit((1 << 21) - 1).cast("long")).cast("int")
-        letter = F.hex(F.encode(F.col("word").substr(start + 1, stop - start), "UTF-8"))
+    once_for_each = F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1)))
+    lattice = _held(lattice, "spans", F.transform("edges", bits))
+    lattice = _held(
+        lattice,
+        "bounds",
+        F.when(F.col("odd"), F.aggregate(once_for_each, whole, best)).otherwise(F.aggregate("spans", whole, in_turn)),
+    )
+    left = F.filter("spans", lambda e: fits(F.col("bounds"), e, 0))
+    places = F.lit((1 << 33) - 1)
+    lattice = _held(lattice, "taken", F.sort_array(F.transform(left, lambda e: e["edge"].bitwiseAND(places))))
+
+    def number(edge: Column) -> Column:
+        return edge.bitwiseAND(F.lit(NO_PIECE).cast("long")).cast("int")
+
+    def spelled(edge: Column) -> Column:
+        letter = F.hex(F.encode(F.col("word").substr(place(edge, 27) + 1, F.lit(1)), "UTF-8"))
         letters = F.transform(
             F.sequence(F.lit(0), (F.length(letter) / 2).cast("int") - 1),
             lambda at: F.conv(F.substring(letter, at * 2 + 1, F.lit(2)), 16, 10).cast("int") + first_byte,
         )
-        return F.when(known.isNotNull(), F.array(known)).otherwise(letters)
+        return F.when(number(edge) == NO_PIECE, letters).otherwise(F.array(number(edge)))
 
-    count = F.size("cuts") - 1
-    ids = F.flatten(F.zip_with(F.slice("cuts", F.lit(1), count), F.slice("cuts", F.lit(2), count), piece))
-    return marked.select("word", *others, ids.alias("ids"))
+    unknown = F.exists("taken", lambda edge: number(edge) == NO_PIECE)
+    ids = F.when(unknown, F.flatten(F.transform("taken", spelled))).otherwise(F.transform("taken", number))
+    return lattice.select("word", *others, ids.alias("ids"))
 
 
 def encode(
@@ -132,10 +217,11 @@ def encode(
     """``doc_id, ids`` of every whole text, with a struct ``kept`` of the columns named in ``keep``.
 
     ``model`` is the path of a model file that each executor has. Texts are
-    dealt by hash into blocks that each fit a task. A block posts its distinct
-    words; each distinct word of all is encoded once and its ids go back to the
-    blocks that have it, so a frequent word is sent once a block. A null or
-    empty text has no ids; null and repeated ids are encoded row by row.
+    dealt by hash into blocks that each fit a task. A block parts its distinct
+    words into units and posts the distinct ones; each distinct unit of all is
+    encoded once and its ids go back to the blocks that have it, so a frequent
+    one is sent once a block. A null or empty text has no ids; null and
+    repeated ids are encoded row by row.
     """
     spark = docs.sparkSession
     count = blocks or partitions(spark)
@@ -151,21 +237,33 @@ def encode(
     ).repartition(count, "block")
 
     def post(table: pa.Table) -> pa.Table:
+        words: set[str] = set()
+        for column in table["text"].chunks:
+            for start in range(0, len(column), ROWS_AT_ONCE):
+                for text in texts(column.slice(start, ROWS_AT_ONCE)):
+                    words.update(words_of(text))
         found: set[str] = set()
-        for text in texts(table["text"]):
-            found.update(word for word in words_of(text) if len(word) <= LATTICE_CHARS)
-        block = pa.array(np.full(len(found), table["block"][0].as_py()), pa.int32())
-        return pa.table([block, pa.array(list(found), pa.string())], names=["block", "word"])
-
-    def put_together(table: pa.Table, words: pa.Table) -> pa.Table:
-        found = pa.concat_arrays([*words["ids"].chunks, pa.array([], pa.list_(pa.int32()))])
+        for _, units in _units(model).parted(list(words)):
+            found.update(units)
+        posted = [unit for unit in found if len(unit) <= LATTICE_CHARS]
+        block = pa.array(np.full(len(posted), table["block"][0].as_py()), pa.int32())
+        return pa.table([block, pa.array(posted, pa.string())], names=["block", "word"])
+
+    def put_together(table: pa.Table, replies: pa.Table) -> pa.Table:
+        found = pa.concat_arrays([*replies["ids"].chunks, pa.array([], pa.list_(pa.int32()))])
         values = np.asarray(found.flatten())
         ends = np.cumsum(np.asarray(found.value_lengths())).tolist()
-        known, start = _Known(model), 0
-        for word, end in zip(words["word"].to_pylist(), ends, strict=True):
-            known[word] = values[start:end].tobytes()
+        units, start = {}, 0
+        for unit, end in zip(replies["word"].to_pylist(), ends, strict=True):
+            units[unit] = values[start:end].tobytes()
             start = end
-        rows = [b"".join(map(known.__getitem__, words_of(text))) for text in texts(table["text"])]
+        known = _Known(model, units)
+        rows = []
+        for column in table["text"].chunks:
+            for start in range(0, len(column), ROWS_AT_ONCE):
+                parts = [words_of(text) for text in texts(column.slice(start, ROWS_AT_ONCE))]
+                known.learn({word for words in parts for word in words if word not in known})
+                rows.extend(b"".join(map(known.__getitem__, words)) for words in parts)
         sizes = np.r_[0, np.cumsum([len(row) // 4 for row in rows])].astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.frombuffer(b"".join(rows), np.int32)))
         return pa.table([table["doc_id"], ids, table["kept"]], names=["doc_id", "ids", "kept"])
@@ -192,17 +290,26 @@ def _loaded(model: str):
     return _models[model]
 
 
+def _units(model: str) -> Units:
+    if ("units", model) not in _models:
+        _models["units", model] = Units(model)
+    return _models["units", model]
+
+
 class _Known(dict):
-    """Ids of words as bytes; a word too long for the lattice is encoded by the library."""
+    """Ids of words as bytes, put together from units; a word with too long a unit is encoded by the library."""
 
-    def __init__(self, model: str):
+    def __init__(self, model: str, units: dict[str, bytes]):
         super().__init__()
-        self.model = model
-
-    def __missing__(self, word: str) -> bytes:
-        ids = _loaded(self.model).encode(word[1:].replace(SPACE, " "))
-        self[word] = found = np.array(ids, np.int32).tobytes()
-        return found
+        self.model, self.units = model, units
+
+    def learn(self, words: set[str]) -> None:
+        for word, units in _units(self.model).parted(list(words)):
+            if all(len(unit) <= LATTICE_CHARS for unit in units):
+                self[word] = b"".join(map(self.units.__getitem__, units))
+            else:
+                ids = _loaded(self.model).encode(word.replace(SPACE, " "))
+                self[word] = np.array(ids, np.int32).tobytes()
 
 
 def decode(encoded: DataFrame, model: str, *, ids_column: str = "ids") -> DataFrame:
