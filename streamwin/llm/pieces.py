@@ -28,6 +28,7 @@ _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Lone surrogates, which no text has, end words and units.
 _WORD_END, _UNIT_END = "\ud800", "\ud801"
 _WORDS_AT_ONCE = 50_000
+IDS_AT_ONCE = 200_000
 
 
 def _processor(model: str):
@@ -240,8 +241,7 @@ def encode(
         words: set[str] = set()
         for column in table["text"].chunks:
             for start in range(0, len(column), ROWS_AT_ONCE):
-                for text in texts(column.slice(start, ROWS_AT_ONCE)):
-                    words.update(words_of(text))
+                words.update(*map(words_of, texts(column.slice(start, ROWS_AT_ONCE))))
         found: set[str] = set()
         for _, units in _units(model).parted(list(words)):
             found.update(units)
@@ -262,7 +262,7 @@ def encode(
         for column in table["text"].chunks:
             for start in range(0, len(column), ROWS_AT_ONCE):
                 parts = [words_of(text) for text in texts(column.slice(start, ROWS_AT_ONCE))]
-                known.learn({word for words in parts for word in words if word not in known})
+                known.learn(set().union(*parts).difference(known))
                 rows.extend(b"".join(map(known.__getitem__, words)) for words in parts)
         sizes = np.r_[0, np.cumsum([len(row) // 4 for row in rows])].astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.frombuffer(b"".join(rows), np.int32)))
@@ -305,7 +305,7 @@ class _Known(dict):
 
     def learn(self, words: set[str]) -> None:
         for word, units in _units(self.model).parted(list(words)):
-            if all(len(unit) <= LATTICE_CHARS for unit in units):
+            if max(map(len, units)) <= LATTICE_CHARS:
                 self[word] = b"".join(map(self.units.__getitem__, units))
             else:
                 ids = _loaded(self.model).encode(word.replace(SPACE, " "))
@@ -321,24 +321,43 @@ def decode(encoded: DataFrame, model: str, *, ids_column: str = "ids") -> DataFr
     at = encoded.columns.index(ids_column)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        if ("pieces", model) not in _models:
-            loaded = _loaded(model)
-            _models["pieces", model] = [
-                bytes([int(loaded.id_to_piece(k)[3:5], 16)])
-                if loaded.is_byte(k)
-                else b""
-                if loaded.is_control(k)
-                else loaded.id_to_piece(k).replace(SPACE, " ").encode()
-                for k in range(loaded.get_piece_size())
-            ]
-        pieces = _models["pieces", model]
-        rows = [
-            b"".join(map(pieces.__getitem__, ids or ())).decode("utf-8", "replace").removeprefix(" ")
-            for ids in part.column(at).to_pylist()
-        ]
+        pool, starts, sizes = _spellings(model)
+        lists = part.column(at)
+        ids = np.asarray(lists.flatten())
+        ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))
+        rows, first = [], 0
+        for end in ends.tolist():
+            parts = (ids[k : min(k + IDS_AT_ONCE, end)] for k in range(first, end, IDS_AT_ONCE))
+            rows.append(b"".join(_spelled(part, pool, starts, sizes) for part in parts))
+            first = end
+        decoded = [row.decode("utf-8", "replace").removeprefix(" ") for row in rows]
         return pa.RecordBatch.from_arrays(
-            [*part.columns, pa.array(rows, pa.string())], names=[*part.schema.names, "decoded"]
+            [*part.columns, pa.array(decoded, pa.string())], names=[*part.schema.names, "decoded"]
         )
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
     return encoded.mapInArrow(per_batch(work), schema)
+
+
+def _spellings(model: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all pieces in a row, and where each id's begin and how many there are."""
+    if ("spellings", model) not in _models:
+        loaded = _loaded(model)
+        pieces = [
+            bytes([int(loaded.id_to_piece(k)[3:5], 16)])
+            if loaded.is_byte(k)
+            else b""
+            if loaded.is_control(k)
+            else loaded.id_to_piece(k).replace(SPACE, " ").encode()
+            for k in range(loaded.get_piece_size())
+        ]
+        sizes = np.array([len(piece) for piece in pieces], np.int64)
+        pool = np.frombuffer(b"".join(pieces), np.uint8)
+        _models["spellings", model] = pool, np.cumsum(sizes) - sizes, sizes
+    return _models["spellings", model]
+
+
+def _spelled(ids: np.ndarray, pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bytes:
+    size = sizes[ids]
+    before = np.cumsum(size) - size
+    return pool[np.repeat(starts[ids] - before, size) + np.arange(size.sum())].tobytes()
