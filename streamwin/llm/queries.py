@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import os
 
 import public_tokenizers
@@ -10,7 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_folder
-from . import digests, mixing, near_duplicates, pieces, quality_cnn, rules, substrings, token_blocks, token_counts, toxicity
+from . import (
+    bpe_chunks,
+    digests,
+    fill_in_middle,
+    mixing,
+    near_duplicates,
+    pieces,
+    quality_cnn,
+    rules,
+    spelling,
+    substrings,
+    token_blocks,
+    token_counts,
+    toxicity,
+)
 from .text import held_out, importable
 
 # Folder of the tokenizer files; each executor has them.
@@ -156,6 +171,111 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.with_limit(counts, 512)
 
 
+def op11_bpe_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    encoded = bpe_chunks.encode(documents(spark, folder), path)
+    marked = bpe_chunks.per_list(
+        encoded, lambda ids: hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), "ids_sha256", "string"
+    )
+    decoded = F.sha2("decoded", 256).alias("decoded_sha256")
+    return bpe_chunks.decode(marked, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", decoded
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(documents(spark, folder))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored("form", "output"), 256).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = r"""
+with d as (
+    select doc_id, coalesce(text, '') as text, sha256('7:' || doc_id) as h,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines
+    from documents
+), c as (
+    select *, len(lines) as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+        ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4
+    from d
+), f as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as cut1, greatest(h1 % (n + 1), h2 % (n + 1)) as cut2,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+            or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form
+    from c
+), p as (
+    select *, array_to_string(lines[1:cut1], '') as prefix, array_to_string(lines[cut1 + 1:cut2], '') as middle,
+        array_to_string(lines[cut2 + 1:], '') as suffix
+    from f
+)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+    case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text
+        when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(text) as restored_sha256
+from p
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.spelling_variants(documents(spark, folder))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+# CRC-32 letter by letter from a table of the 256 remainders; near words by the words that miss one letter.
+OP13_SQL = r"""
+with recursive t as (
+    select list(list_reduce([b] || range(8),
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by b) as rest
+    from range(256) r(b)
+), runs as (
+    select doc_id, run, count(*) as times from (
+        select doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[a-zÀ-ÿ]+')) as run
+        from documents)
+    where length(run) >= 6 group by all
+), marked as (
+    select run, times, xor(4294967295, list_reduce([4294967295::bigint] || list_transform(
+        range(0, length(bytes), 2), lambda k: ('0x' || bytes[k + 1:k + 2])::bigint),
+        lambda c, b: xor(c >> 8, rest[(xor(c, b) & 255) + 1]))) as h
+    from (select *, hex(encode(doc_id || ':' || run)) as bytes from runs), t
+), words as (
+    select word, sum(times)::bigint as n from (
+        select times, case when h % 199 = 0 then run[1:h % length(run)] || run[h % length(run) + 2:] else run end as word
+        from marked)
+    where length(word) >= 6 group by word having sum(times) >= 5
+), cut as (
+    select word, place, word[1:place - 1] || word[place + 1:] as rest
+    from (select word, unnest(range(1, length(word) + 1)) as place from words)
+), near as (
+    select a.word, b.word as other from cut a join cut b on a.rest = b.rest and a.place = b.place and a.word <> b.word
+    union select word, rest from cut where rest in (select word from words)
+    union select rest, word from cut where rest in (select word from words)
+), best as (
+    select near.word, count(*) as n_near, min((-n, other)) as best
+    from near join words on words.word = other group by near.word
+), formed as (
+    select word, n, coalesce(n_near, 0) as n_near,
+        case when -best[1] >= 5 * n then best[2] end as form, case when -best[1] >= 5 * n then -best[1] end as form_n
+    from words left join best using (word)
+), chain as (
+    select word, word as root, form as next from formed
+    union all
+    select chain.word, formed.word, formed.form from chain join formed on formed.word = chain.next
+)
+select word, form, root, n, n_near, form_n from formed join chain using (word) where next is null
+"""
+
+
 def _importable(query):
     @functools.wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,8 +296,16 @@ _ALL = {
     "op8_toxicity": op8_toxicity,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_bpe_ids": op11_bpe_ids,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 QUERIES = {name: _importable(query) for name, query in _ALL.items()}
 
-ORACLES = {"op4_substrings": OP4_SQL, "op6_near_duplicates": OP6_SQL}
+ORACLES = {
+    "op4_substrings": OP4_SQL,
+    "op6_near_duplicates": OP6_SQL,
+    "op12_fill_in_middle": OP12_SQL,
+    "op13_spelling_variants": OP13_SQL,
+}

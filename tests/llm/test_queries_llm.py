@@ -33,7 +33,7 @@ def rows_of(llm, name, folder=FOLDER):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in LLM) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in LLM) == list(range(1, 14))
     assert "pipeline" in QUERIES
 
 
@@ -119,6 +119,20 @@ def test_pieces(llm, texts):
         assert tuple(row) == (doc_id, len(ids), check, digest)
 
 
+def test_bpe_ids(llm, texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found = rows_of(llm, "op11_bpe_ids")
+    assert found.keys() == texts.keys()
+    for doc_id, row in found.items():
+        ids = library.encode(texts[doc_id], add_special_tokens=False).ids
+        packed = b"".join(k.to_bytes(4, "little") for k in ids)
+        decoded = library.decode(ids, skip_special_tokens=False).encode()
+        assert tuple(row) == (doc_id, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest())
+
+
 def test_rules(llm, texts):
     for doc_id, row in rows_of(llm, "op9_rules").items():
         text = texts[doc_id]
