@@ -22,6 +22,9 @@ def _tidy(frame: pd.DataFrame) -> pd.DataFrame:
     for name in frame.columns:
         if str(frame[name].dtype).startswith("datetime"):
             frame[name] = frame[name].astype("datetime64[us]")
+        elif str(frame[name].dtype) == "Int64":
+            # Whole numbers with nulls: one side has them as floats with gaps.
+            frame[name] = frame[name].astype("float64" if frame[name].isna().any() else "int64")
         elif frame[name].dtype == object or str(frame[name].dtype).startswith("str"):
             frame[name] = frame[name].astype(object).where(frame[name].notna(), None)
     return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
