@@ -72,13 +72,17 @@ def mix(
     The key is a hash of id and seed: reruns agree. Its leading digits part a
     source into ranges, however large the source; their totals, 4096 rows a
     source, are summed up first, and then each range for itself. Null sources
-    are a source; a null text has no words; a null id has a key of its own;
-    rows that repeat an id lie next to each other, ordered by size. No
-    documents give no rows. Columns that ``docs`` already has under the names
+    are a source; a null text has no words; rows without an id get a key from
+    their text; rows that repeat an id lie next to each other, ordered by size
+    and a hash of the text, so that how rows lie in partitions decides nothing.
+    No documents give no rows. Columns that ``docs`` already has under the names
     of the result are replaced.
     """
     source = F.col(source_column)
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_column).cast("string")).cast("binary"))
+    # Of rows without an id the text decides, so that they spread as others do.
+    tie = F.xxhash64(text_column)
+    named = F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("text "), tie.cast("string")))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), named).cast("binary"))
     size = F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long")
     added = ("mix_size", "mix_source_size", "mix_target", "mix_taken")
     kept = [name for name in keep or docs.columns if name.lower() not in added]
@@ -87,6 +91,7 @@ def mix(
         source.alias("source"),
         F.col(id_column).alias("id"),
         size.alias("size"),
+        tie.alias("tie"),
         key.alias("key"),
         F.substring(key, 1, RANGE_DIGITS).alias("range"),
     ).withColumn("line", F.concat("range", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
@@ -98,7 +103,7 @@ def mix(
     plan = starts.join(targets, F.col("source").eqNullSafe(F.col("target_source"))).select(
         "line", "range_start", "source_size", "target"
     )
-    line = Window.partitionBy("line").orderBy("key", "id", "size")
+    line = Window.partitionBy("line").orderBy("key", "id", "size", "tie")
     earlier = line.rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("line_start", F.coalesce(F.sum("size").over(earlier), F.lit(0))).join(plan, "line")
     start = F.col("range_start") + F.col("line_start")
@@ -117,9 +122,11 @@ def mix(
 def repeated(mixed: DataFrame, *, text_column: str = "text") -> DataFrame:
     """The rows the mix takes: a document once for each whole or partial pass.
 
-    ``mix_pass`` counts them. In a partial pass the text is its words taken,
-    joined by blanks; documents of which nothing is taken are left out.
+    ``mix_pass`` counts them; a column that already has this name is replaced.
+    In a partial pass the text is its words taken, joined by blanks; documents
+    of which nothing is taken, nulls and empty texts among them, are left out.
     """
+    mixed = mixed.select(*(F.col(f"`{name}`") for name in mixed.columns if name.lower() != "mix_pass"))
     size, taken = F.col("mix_size"), F.col("mix_taken")
     count = F.ceil(taken / size).cast("int")
     passes = mixed.where(taken > 0).select("*", F.explode(F.sequence(F.lit(1), count)).alias("mix_pass"))

@@ -75,7 +75,7 @@ def words_of(text: str) -> list[str]:
     """Parts of a text that no piece crosses, its blanks shown, without the blank that leads each of them."""
     if not text:
         return []
-    if SPACE in text or "  " in text or text[-1] == " ":
+    if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
         return [word[1:] for word in _WORD.findall(SPACE + text.replace(" ", SPACE))]
     return text.split(" ")
 

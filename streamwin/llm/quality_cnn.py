@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -90,11 +91,19 @@ class Network:
         mean = np.add.reduceat(lit, starts) / counts[:, None]
         return lit, top, mean, counts
 
-    def score(self, texts: list[bytes], tables: list[np.ndarray] | None = None) -> np.ndarray:
+    @cached_property
+    def trained(self) -> list[np.ndarray]:
+        """The tables of a network that learns no more; each worker builds them once, with the network it got."""
+        return self.tables()
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "trained"}
+
+    def score(self, texts: list[bytes]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
         chunks, owner = chunked(texts)
-        most, _ = self.pooled(chunks, tables or self.tables())
+        most, _ = self.pooled(chunks, self.trained)
         _, top, mean, _ = self.features(most, owner)
         return _sigmoid(np.hstack((top, mean)).astype(np.float64) @ self.weights.astype(np.float64) + self.offset)
 
@@ -177,7 +186,7 @@ def score(
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        scores = shared.value.score(utf8(part.column(1)), _tables(shared))
+        scores = shared.value.score(utf8(part.column(1)))
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     found = frame.mapInArrow(per_batch(work, 64), "doc_id long, score double")
@@ -190,18 +199,7 @@ def keep_good(docs: DataFrame, network: Network, *, threshold: float = 0.3, text
     at = docs.columns.index(text_column)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        scores = shared.value.score(utf8(part.column(at)), _tables(shared))
+        scores = shared.value.score(utf8(part.column(at)))
         return part.filter(pa.array(scores >= threshold))
 
     return docs.mapInArrow(per_batch(work, 64), docs.schema)
-
-
-_built: dict[int, list[np.ndarray]] = {}
-
-
-def _tables(shared) -> list[np.ndarray]:
-    """The tables of a broadcast network, built once in each worker."""
-    if id(shared.value) not in _built:
-        _built.clear()
-        _built[id(shared.value)] = shared.value.tables()
-    return _built[id(shared.value)]

@@ -31,7 +31,8 @@ from .text import id_and_text, slices, stored, utf8
 # Fixed value: the letters of words, once A to Z are small.
 LETTERS = "[a-zÀ-ÿ]"
 LEAST_LETTERS, LEAST_COUNT, CHANGE_ONE_IN, TIMES = 6, 5, 199, 5
-GROUP_WORDS = 10_000
+GROUP_WORDS = 4000
+SALTS = 64
 # Distinct words a task counts before it passes the counts on.
 WORDS_HELD = 200_000
 # Prefixes are looked at up to this length; beyond it every place of a word is joined on.
@@ -195,12 +196,17 @@ def near_words(words: DataFrame, *, group_words: int = GROUP_WORDS) -> DataFrame
     """
     size = F.length("word")
     starts = words.select("word", F.explode(F.sequence(F.lit(0), F.least(size, F.lit(LONGEST_PREFIX)))).alias("k"))
-    starts = starts.select("word", F.substr("word", F.lit(1), F.col("k")).alias("prefix"))
+    starts = starts.select(
+        "word", F.substr("word", F.lit(1), F.col("k")).alias("prefix"), F.pmod(F.hash("word"), F.lit(SALTS)).alias("salt")
+    )
+    # A hot prefix stands for more than ``group_words`` words, so there are few. A short one is met by a
+    # large part of all words, so these are spread over copies of it.
     hot = starts.groupBy("prefix").agg(F.count("*").alias("words")).where(F.col("words") > group_words)
-    # At most one prefix in ``group_words`` of each length is hot; Spark broadcasts them if they are small.
+    hot = hot.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     depth = F.count("words").cast("int")
-    deep = starts.join(hot, "prefix", "left").groupBy("word").agg(depth.alias("depth"))
+    deep = starts.join(hot, ["prefix", "salt"], "left").groupBy("word").agg(depth.alias("depth"))
     deep = deep.withColumn("depth", F.when(F.col("depth") > LONGEST_PREFIX, F.length("word") + 1).otherwise(F.col("depth")))
+    deep = stored(deep, "spelling-depths")
 
     cut = deep.where("depth > 0").select(
         "word", F.explode(F.sequence(F.lit(1), F.least("depth", size))).alias("place")

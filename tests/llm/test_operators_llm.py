@@ -110,10 +110,12 @@ def test_pieces_of_odd_texts(make_docs):
 
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     texts = ["", " ", "  a  b\n\nc", "日本語😀 é☃", "x" * 200 + " aaaa", "<s> <unk> <0x41>", "\x00 ﬁ①"]
+    # One blank in front, after the one the library adds, makes a piece of two.
+    texts += [" 日本", " 1", " \tx", " the end", " a b ", " ▁x", "▁"]
     found = pieces.decode(pieces.encode(make_docs(*texts), MODEL), MODEL).collect()
     for row in found:
         assert row["ids"] == library.encode(texts[row["doc_id"]])
-        assert row["decoded"] == texts[row["doc_id"]]
+        assert row["decoded"] == texts[row["doc_id"]].replace("▁", " ")
 
 
 def brute_repeats(rows):
@@ -241,3 +243,74 @@ def test_classifiers_without_labels(llm, make_docs):
     assert quality_cnn.score(docs, quality_cnn.learn(docs, labels)).count() == 2
     assert toxicity.score(docs, toxicity.learn(docs, labels)).where("predicted = 1").count() == 0
     assert rules.learn_rules(docs, labels).rules == ()
+
+
+def test_mix_does_not_depend_on_partitions(llm, make_docs):
+    rows = [(at % 3 or None, f"text {at} " * (at % 4 + 1), "s" if at % 2 else "t") for at in range(51)]
+    docs = make_docs(*rows)
+    seen = []
+    for count in (1, 3, 7):
+        mixed = mixing.mix(docs.repartition(count), share=0.7)
+        seen.append(sorted((tuple(row) for row in mixed.select("doc_id", "text", "mix_taken").collect()), key=str))
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_repeated_replaces_its_own_column(make_docs):
+    from pyspark.sql import functions as F
+
+    docs = make_docs("a b c", "d e").withColumn("mix_pass", F.lit("mine"))
+    found = mixing.repeated(mixing.mix(docs)).select("text", "mix_pass").collect()
+    assert {type(row["mix_pass"]) for row in found} == {int}
+
+
+def test_networks_keep_their_own_tables():
+    import pickle
+
+    from streamwin.llm.quality_cnn import Network
+
+    texts = [b"some text", b"", b"0123456789" * 200]
+    for seed in range(50):
+        network = Network.fresh(seed)
+        sent = pickle.loads(pickle.dumps(network))
+        assert "trained" not in sent.__dict__
+        fresh = sent.score(texts)
+        assert (network.score(texts) == fresh).all()
+        assert "trained" not in pickle.loads(pickle.dumps(network)).__dict__
+
+
+def test_convolution_against_plain_loops():
+    import math
+
+    from streamwin.llm.quality_cnn import CHUNK, FILTERS, STRIDE, WIDTH, Network
+
+    network = Network.fresh(4)
+    network.bias[:] = 0.1
+    for text in (b"", b"ab", b"The quick brown fox. " * 60):
+        rows = []
+        for start in range(0, max(1, len(text) - (CHUNK - STRIDE)), STRIDE):
+            best = []
+            for f in range(FILTERS):
+                places = range(start, min(start + CHUNK, len(text)))
+                responses = [
+                    sum(float(network.filters[j, text[at + j], f]) for j in range(WIDTH) if at + j < len(text))
+                    for at in places
+                ]
+                best.append(max(0.0, max(responses, default=-1e9) + float(network.bias[f])))
+            rows.append(best)
+        top = [max(column) for column in zip(*rows, strict=True)]
+        mean = [sum(column) / len(rows) for column in zip(*rows, strict=True)]
+        total = sum(w * v for w, v in zip(network.weights.tolist(), top + mean, strict=True)) + network.offset
+        assert network.score([text])[0] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-5)
+
+
+def test_noisy_or_against_plain_loops():
+    import math
+
+    labelled = [("you stink badly. have a nice day", 1), ("a fine morning. we walk", 0), ("nice day. fine walk", 0)] * 20
+    model = toxicity.train([text for text, _ in labelled], [label for _, label in labelled])
+    for text, _ in labelled[:3]:
+        clean = 1.0
+        for sentence in filter(str.strip, text.split(".")):
+            clean *= 1 - 1 / (1 + math.exp(-float(model.sentence_logits(sentence)[0])))
+        assert model.score(text) == pytest.approx(1 - clean, abs=1e-9)
+    assert model.score(labelled[0][0]) > model.score(labelled[1][0])
