@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from streamwin.llm import mixing, near_duplicates, pieces, quality_cnn, substrings
 from streamwin.llm.queries import documents, table, vocabulary
-from streamwin.llm.text import importable, stored
+from streamwin.llm.text import importable, partitions, stored
 
 
 def _with_text(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -45,17 +45,27 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take each source's documents, some twice, up to its target share of words."""
+    """Take each source's documents, some twice, up to its target share of words.
+
+    A null or empty text has no words and is never taken. Rows travel whole, so
+    that columns named as those of the mix stay what they are.
+    """
     importable(spark)
-    return _with_text(mixing.repeated(mixing.mix(docs)), docs)
+    whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), "doc_id", "text", "source")
+    taken = mixing.repeated(mixing.mix(whole)).select("row.*", F.col("text").alias("text taken"))
+    return _with_text(taken.drop("text").withColumnRenamed("text taken", "text"), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every text, and the text they decode to."""
+    """Piece ids of every text, and the text they decode to.
+
+    Blocks are three times finer than by default: a stage before may have left
+    each document's text in few files, and a task holds a block whole.
+    """
     importable(spark)
     model = vocabulary("piece_bpe_32k.model")
     keep = tuple(name for name in ("lang", "source") if name in docs.columns)
-    encoded = pieces.decode(pieces.encode(docs, model, keep=keep), model)
+    encoded = pieces.decode(pieces.encode(docs, model, keep=keep, blocks=3 * partitions(spark)), model)
     columns = [F.col("doc_id"), *(F.col(f"kept.{name}") for name in keep)]
     return encoded.select(*columns, F.col("decoded").alias("text"), F.size("ids").alias("n_pieces"), "ids")
 
