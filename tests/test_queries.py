@@ -1,7 +1,10 @@
 """Every registered query against its SQL on whole tables."""
 
+import subprocess
+import sys
+
 import pytest
-from conftest import TESTDATA
+from conftest import ROOT, TESTDATA
 
 import __spark_entry__ as entry_points
 import oracle
@@ -28,6 +31,17 @@ def test_query_matches_sql(spark, db, name):
     oracle.assert_same(QUERIES[name](spark, FOLDER).toPandas(), db.sql(SQL[name]).df())
 
 
+@pytest.mark.parametrize("missing", ["streamwin.llm", "xxhash", "regex", "public_tokenizers"])
+def test_queries_stay_without_the_optional_package(missing):
+    """A fresh interpreter in which a module can't be found."""
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None; sys.path.insert(0, {ROOT!r})\n"
+        "import __spark_entry__ as e; from streamwin.plans import catalog\n"
+        "assert e.queries().keys() == catalog.queries().keys() and e.oracle_sql().keys() == catalog.oracles().keys()"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True)
+
+
 def test_entry(spark):
     result = entry_points.entry(spark)
     assert result.columns[-3:] == ["granularity", "window_start", "window_end"]
