@@ -135,7 +135,12 @@ def estimate_delay(
     minutes = delay_minutes(
         F.col("p95_delay_s"), max_delay=max_delay, min_delay=min_delay, unit_compat=unit_compat
     )
-    return f"{stats.select(minutes).first()[0]} minutes"
+    return stats.select(delay_label(minutes)).first()[0]
+
+
+def delay_label(minutes: Column) -> Column:
+    """The delay as a watermark takes it, such as ``"7 minutes"``."""
+    return F.concat(minutes.cast("string"), F.lit(" minutes"))
 
 
 def adaptive_sliding(
@@ -155,17 +160,21 @@ def adaptive_sliding(
     """Sliding windows under an estimated watermark, with the delay as a column.
 
     The estimate comes from ``history``, by default the events themselves. A
-    stream cannot be looked at before it starts, so there ``history`` is needed.
+    stream cannot be looked at before it starts, so there ``history`` is needed,
+    and a job finds its delay, which the watermark needs. A batch has no
+    watermark: the delay is a label, found by a subquery when the rows are
+    wanted, and building the plan starts no job.
     """
-    delay = estimate_delay(
-        events if history is None else history,
-        max_delay=max_event_delay,
-        min_delay=min_event_delay,
-        as_of=as_of,
-        event_time=event_time,
-        approximate=approximate,
-        unit_compat=unit_compat,
-    )
-    return static_sliding(
-        events, window_duration, sliding_duration, delay=delay, measures=measures, event_time=event_time
-    )
+    past = events if history is None else history
+    bounds = dict(max_delay=max_event_delay, min_delay=min_event_delay, unit_compat=unit_compat)
+    stats = dict(as_of=as_of, event_time=event_time, approximate=approximate)
+    layout = dict(measures=measures, event_time=event_time)
+    if events.isStreaming:
+        delay = estimate_delay(past, **bounds, **stats)
+        return static_sliding(events, window_duration, sliding_duration, delay=delay, **layout)
+    if past.isStreaming:
+        raise ValueError("the delay is estimated from batch data; pass a bounded history of the stream")
+    label = delay_label(delay_minutes(F.col("p95_delay_s"), **bounds))
+    found = delay_stats(past, **stats).select(label.alias("delay")).scalar()
+    rows = static_sliding(events, window_duration, sliding_duration, **layout)
+    return rows.withColumn("watermark_delay", found)

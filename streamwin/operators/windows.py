@@ -27,6 +27,9 @@ SLIDE = "1 minute"
 WINDOW_DELAY = "5 minutes"
 GRANULARITIES = ("1 minute", "5 minutes", "15 minutes")
 
+# Fixed value: how Spark marks a column by which a watermark closes state.
+_WATERMARK = "spark.watermarkDelayMs"
+
 
 def tumbling(
     events: DataFrame,
@@ -112,20 +115,21 @@ def multi_granularity(
 ) -> DataFrame:
     """Tumbling windows of several widths, labelled by ``granularity``.
 
-    ``delay`` defaults to twice the widest granularity. ``single_scan`` reads
-    the input once; by default batch input does so, and a stream aggregates
-    each granularity on its own. On a stream the single-scan form reports a
-    window only when the widest window around it closes, and judges lateness
-    by that one; every width then has to divide the widest.
+    ``delay`` defaults to twice the widest granularity. By default the input is
+    read once, and a stream keeps one state: an event is copied to its window
+    of each width, and the end of that window, on which state is closed and
+    lateness judged, is what the copies are grouped by. ``single_scan=False``
+    aggregates each granularity on its own, with the same results, and reads
+    a stream once for each. ``single_scan=True`` on a stream reports a window
+    only when the widest window around it closes, and judges lateness by that
+    one; every width then has to divide the widest.
     """
     widths = {text: interval_micros(text) for text in granularities}
     if not widths:
         raise ValueError("at least one granularity is needed")
     if delay is None:
         delay = micros_interval(2 * max(widths.values()))
-    if single_scan is None:
-        single_scan = not events.isStreaming
-    if not single_scan:
+    if single_scan is False:
         parts = [
             tagged(
                 tumbling(events, text, delay=delay, keys=keys, measures=measures, event_time=event_time),
@@ -135,6 +139,8 @@ def multi_granularity(
         ]
         united = reduce(DataFrame.unionByName, parts)
         return united.select(*_order(keys, measures, ["granularity"]))
+    if events.isStreaming and single_scan is None:
+        return _by_ends(events, widths, delay, keys, measures, event_time)
     if events.isStreaming:
         widest = max(widths.values())
         if any(widest % width for width in widths.values()):
@@ -165,6 +171,27 @@ def static_sliding(
     return _layout(rows, keys, measures, watermark_delay=F.lit(delay))
 
 
+def _by_ends(events, widths: dict[str, int], delay: str, keys, measures: Measures, event_time: str) -> DataFrame:
+    """Windows of several widths in one state of a stream.
+
+    The watermark is that of the events. The column it closes state by is the
+    end of a window, marked as Spark itself marks the windows it makes: a query
+    may set only one watermark, and that of the ends would run ahead.
+    """
+    marked = events.withWatermark(event_time, delay).filter(F.col(event_time).isNotNull())
+    slots = marked.withColumn("_slot", F.explode(_slots(F.col(event_time), widths)))
+    closing = {_WATERMARK: interval_micros(delay) // 1000}
+    ends = slots.select(
+        "*",
+        F.col("_slot.granularity").alias("_width"),
+        F.col("_slot.window.start").alias("_start"),
+        F.col("_slot.window.end").alias("_end", metadata=closing),
+    )
+    rows = ends.groupBy("_width", "_start", "_end", *keys).agg(*measures.direct())
+    bounds = [F.col("_start").alias("window_start"), F.col("_end").alias("window_end")]
+    return _layout(rows, keys, measures, bounds, granularity=F.col("_width"))
+
+
 def _sliding(events, size, slide, delay, keys, measures, event_time, panes) -> DataFrame:
     """Sliding aggregation that still carries its window struct."""
     if panes is None:

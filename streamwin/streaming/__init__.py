@@ -1,5 +1,7 @@
 from .progress import ProgressLog, late_rows, progress_samples, progress_table, record_progress
+from .replay import add_slices, arrival_slice, write_slices
 from .runs import SCALE_CONF, finish, run_for, session_conf, start_at_scale
+from .versions import VersionedTable, start_snapshots, start_upserts
 from .writers import (
     AVAILABLE_NOW,
     OUTPUT_MODES,
@@ -17,6 +19,9 @@ __all__ = [
     "AVAILABLE_NOW",
     "OUTPUT_MODES",
     "SCALE_CONF",
+    "VersionedTable",
+    "add_slices",
+    "arrival_slice",
     "checkpointed_writer",
     "console_writer",
     "finish",
@@ -34,4 +39,7 @@ __all__ = [
     "start_delta",
     "start_files",
     "start_jdbc",
+    "start_snapshots",
+    "start_upserts",
+    "write_slices",
 ]
