@@ -50,12 +50,33 @@ def delay_stats(
     if approximate:
         p95 = F.percentile_approx("_delay", PERCENTILE, accuracy).cast("double")
         return delays.agg(F.max("_delay").alias(names[0]), F.avg("_delay").alias(names[1]), p95.alias(names[2]))
+    return _exact_stats(delays.withColumn("_times", F.lit(1)), names)
 
+
+def second_counts(events: DataFrame, event_time: str = "event_time") -> DataFrame:
+    """``second, n``: how many events each second of event time has.
+
+    Counts of parts of the events add up to those of all, whatever the time the
+    delay is taken at, so a history kept this way grows by its new events alone.
+    """
+    known = with_event_time(events, event_time)
+    return known.groupBy(F.unix_timestamp(event_time).alias("second")).agg(F.count("*").alias("n"))
+
+
+def counted_delay_stats(counts: DataFrame, *, as_of: Column | str | None = None, suffix: str = "s") -> DataFrame:
+    """:func:`delay_stats` of the events that ``counts`` (``second, n``) stands for, the same to the last digit."""
+    names = [f"{part}_delay_{suffix}" for part in ("max", "avg", "p95")]
+    seconds = counts.select(F.timestamp_seconds("second").alias("at"), "n")
+    return _exact_stats(seconds.select(arrival_delay("at", as_of).alias("_delay"), F.col("n").alias("_times")), names)
+
+
+def _exact_stats(delays: DataFrame, names: list[str]) -> DataFrame:
+    """Statistics of ``_delay``, each counted ``_times`` times."""
     bucketed = delays.withColumn("_bucket", F.floor(F.col("_delay") / _BUCKET_SECONDS))
     days = bucketed.groupBy("_bucket").agg(
-        F.count("*").alias("_n"),
+        F.sum("_times").alias("_n"),
         F.max("_delay").alias("_max"),
-        F.sum("_delay").cast("decimal(38,0)").alias("_sum"),
+        F.sum(F.col("_delay") * F.col("_times")).cast("decimal(38,0)").alias("_sum"),
     )
     # One row per day of delay from here on, so the running count is small.
     everything = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -75,7 +96,7 @@ def delay_stats(
 
     # ``hit`` has at most two rows: the days holding the two neighbouring ranks.
     seconds = bucketed.join(F.broadcast(hit), "_bucket").groupBy("_bucket", "_delay").agg(
-        F.count("*").alias("_n"),
+        F.sum("_times").alias("_n"),
         *[F.first(name).alias(name) for name in ("_before", "_rank", "_max", "_avg")],
     )
     within = Window.partitionBy("_bucket").orderBy("_delay")
@@ -132,9 +153,23 @@ def estimate_delay(
     if history.isStreaming:
         raise ValueError("the delay is estimated from batch data; pass a bounded history of the stream")
     stats = delay_stats(history, as_of=as_of, event_time=event_time, approximate=approximate)
-    minutes = delay_minutes(
-        F.col("p95_delay_s"), max_delay=max_delay, min_delay=min_delay, unit_compat=unit_compat
-    )
+    return _chosen(stats, max_delay, min_delay, unit_compat)
+
+
+def estimate_delay_of_counts(
+    counts: DataFrame,
+    *,
+    max_delay: str = MAX_DELAY,
+    min_delay: str = MIN_DELAY,
+    as_of: Column | str | None = None,
+    unit_compat: bool = False,
+) -> str:
+    """As :func:`estimate_delay`, from the counts per second that a history is kept as."""
+    return _chosen(counted_delay_stats(counts, as_of=as_of), max_delay, min_delay, unit_compat)
+
+
+def _chosen(stats: DataFrame, max_delay: str, min_delay: str, unit_compat: bool) -> str:
+    minutes = delay_minutes(F.col("p95_delay_s"), max_delay=max_delay, min_delay=min_delay, unit_compat=unit_compat)
     return stats.select(delay_label(minutes)).first()[0]
 
 

@@ -28,12 +28,14 @@ from ..streaming import (
 )
 from .queries_windows import FULL_EXACT, PAIR_EXACT, event_table, events_of, hybrid_sql, multi_sql, zoneless
 from .scratch import scratch_folder
+from .strategies import counted_adaptive_cycle
 from .sql import (
     BOUNDS,
     COUNT,
     FULL_SQL,
     LATE_DROPPED_SQL,
     PAIR_SQL,
+    adaptive_cycles_sql,
     closed_sql,
     late_sessions_sql,
     late_windows_sql,
@@ -190,6 +192,30 @@ def _late_restarts(spark: SparkSession, folder: str) -> DataFrame:
     return zoneless(spark.read.schema(schema).parquet(f"{place}/out/result"))
 
 
+COUNTED_AS_OF = "2024-01-04 00:00:00"
+
+
+def _adaptive_cycles(spark: SparkSession, folder: str) -> DataFrame:
+    """A cycle for every slice, each with the delay that the events so far suggest."""
+    place = scratch_folder(spark, "cycles")
+    files, cycles = f"{place}/files", 0
+    for _ in add_slices(arrivals(spark, folder), files, "slice", staged=f"{place}/staged"):
+        cycles += 1
+        counted_adaptive_cycle(
+            market_view(stream_events(spark, files, EVENT_TABLE_SCHEMA, file_format="parquet")),
+            output_root=f"{place}/out",
+            checkpoint_root=f"{place}/checkpoint",
+            counts_root=f"{place}/counts",
+            as_of=COUNTED_AS_OF,
+            max_event_delay="72 hours",
+            measures=FULL_EXACT,
+            state_partitions=_state_partitions(spark),
+        )
+    shape = op.static_sliding(events_of(spark, folder), "5 minutes", "1 minute", measures=FULL_EXACT).schema
+    written = spark.read.schema(shape).parquet(f"{place}/out/adaptive") if cycles else spark.createDataFrame([], shape)
+    return zoneless(written)
+
+
 class _Crash(Exception):
     pass
 
@@ -233,6 +259,7 @@ QUERIES = {
     "stream_late_session": _late_sessions,
     "stream_late_dropped": _late_dropped,
     "stream_late_restarts": _late_restarts,
+    "stream_adaptive": _adaptive_cycles,
     "stream_update_hybrid": _kept_table(
         start_upserts,
         lambda ev: op.hybrid(ev, delay="30 days", measures=FULL_EXACT),
@@ -287,6 +314,7 @@ ORACLES = {
     "stream_late_session": late_sessions_sql("30 minutes", SLICES),
     "stream_late_dropped": LATE_DROPPED_SQL,
     "stream_late_restarts": late_windows_sql(("5 minutes",), lag=1),
+    "stream_adaptive": adaptive_cycles_sql(COUNTED_AS_OF, 1, 72 * 60),
     "stream_update_hybrid": hybrid_sql(),
     "stream_update_multi": multi_sql(FULL_SQL),
     "stream_complete_tumbling": tumbling_sql("5 minutes", FULL_SQL),

@@ -130,3 +130,20 @@ x{n} as materialized (select user_id, min(s) as s, max(e) as e, sum(rows)::bigin
         + " select user_id, s as session_start, e as session_end, rows as event_count, cast(volume as bigint) as total_volume, "
         f"cast(total as double) / nullif(priced, 0) as avg_price, most as max_price, least as min_price from ({done})"
     )
+
+
+def adaptive_cycles_sql(as_of: str, low: int, high: int) -> str:
+    """Sliding windows of a replay, a run for each slice, its delay from the 95th percentile of all events so far."""
+    delay = f"cast(epoch(timestamp '{as_of}') - floor(epoch(event_time)) as double)"
+    return f"""
+with {_arrived(1)},
+p as (select b.n, (select quantile_cont({delay}, 0.95) from v where v.n <= b.n) as p95,
+    (select date_trunc('millisecond', max(event_time)) from v where v.n = b.n) as seen from b),
+d as (select *, least(greatest(cast(trunc(coalesce(nullif(p95, 0), 300) / 60 * 1.2) as bigint), {low}), {high}) as minutes from p),
+w as (select n, minutes, max(seen - to_minutes(minutes)) over (order by n) as mark from d),
+s as (select time_bucket(interval '1 minute', event_time) - k * interval '1 minute' as window_start, v.* exclude (late),
+    (select mark from w where w.n = v.n - 1) as late from v, range(5) r(k)),
+g as (select window_start, window_start + interval '5 minutes' as window_end, {FULL_SQL} from s
+    where late is null or window_start + interval '5 minutes' > late group by window_start)
+select g.*, (select arg_min(minutes, n) from w where mark >= window_end) || ' minutes' as watermark_delay
+from g where window_end <= (select max(mark) from w)"""

@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..functions.measures import BASELINE
+from ..functions.measures import BASELINE, FULL, Measures
 from ..operators import (
     adaptive_sliding,
+    estimate_delay_of_counts,
     hybrid,
     keyed_multi_granularity,
     keyed_session,
     keyed_sliding,
     keyed_tumbling,
     multi_granularity,
+    second_counts,
     session,
     static_sliding,
     tumbling,
@@ -23,6 +25,7 @@ from ..operators import (
 from ..sources import decode_text_messages
 from ..streaming import (
     AVAILABLE_NOW,
+    VersionedTable,
     checkpointed_writer,
     finish,
     progress_samples,
@@ -121,6 +124,49 @@ def adaptive_cycle(
     return finish(query)
 
 
+def counted_adaptive_cycle(
+    events: DataFrame,
+    *,
+    output_root: str,
+    checkpoint_root: str,
+    counts_root: str,
+    as_of: str | None = None,
+    window_duration: str = LIVE_ADAPTIVE["window_duration"],
+    sliding_duration: str = LIVE_ADAPTIVE["sliding_duration"],
+    max_event_delay: str = LIVE_ADAPTIVE["max_event_delay"],
+    min_event_delay: str = LIVE_ADAPTIVE["min_event_delay"],
+    measures: Measures = FULL,
+    state_partitions: int | None = None,
+) -> tuple[StreamingQuery, str]:
+    """As :func:`adaptive_cycle`, but each event is read for the estimate only in the cycle it arrives in.
+
+    The history is a table of event counts per second below ``counts_root``. A
+    cycle adds the counts of what has arrived, estimates the delay from the
+    whole table, which equals that of all events, and runs the windows. The
+    query that was run and the delay chosen are returned.
+    """
+    counted = second_counts(events)
+    history = VersionedTable(counts_root, counted.schema, ["second"], merge="sum")
+
+    def add(batch: DataFrame, number: int) -> None:
+        history.put_changes(second_counts(batch), number)
+
+    writer = events.writeStream.foreachBatch(add).option("checkpointLocation", f"{checkpoint_root}/adaptive_counts")
+    finish(start_at_scale(events.sparkSession, writer.trigger(**AVAILABLE_NOW)))
+    delay = estimate_delay_of_counts(
+        history.read(events.sparkSession), max_delay=max_event_delay, min_delay=min_event_delay, as_of=as_of
+    )
+    query = start_files(
+        static_sliding(events, window_duration, sliding_duration, delay=delay, measures=measures),
+        "adaptive",
+        output_root=output_root,
+        checkpoint_root=checkpoint_root,
+        trigger=AVAILABLE_NOW,
+        state_partitions=state_partitions,
+    )
+    return finish(query), delay
+
+
 def symbol_strategies(events: DataFrame) -> dict[str, DataFrame]:
     """The four per-symbol results, by the window type their tables are named after."""
     return {

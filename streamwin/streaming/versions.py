@@ -29,10 +29,16 @@ _COMMIT = "batch long, snapshot long"
 
 
 class VersionedTable:
-    """A table below ``root``; ``keys`` tell its rows apart where batches report changed rows only."""
+    """A table below ``root``; ``keys`` tell its rows apart where batches report changed rows only.
 
-    def __init__(self, root: str, schema: T.StructType, keys: Sequence[str] = ()):
-        self.root, self.schema, self.keys = root, schema, list(keys)
+    Rows with equal keys are merged: the ``newest`` one stays, or the other
+    columns are added up (``sum``).
+    """
+
+    def __init__(self, root: str, schema: T.StructType, keys: Sequence[str] = (), merge: str = "newest"):
+        if merge not in ("newest", "sum"):
+            raise ValueError("rows are merged by 'newest' or 'sum'")
+        self.root, self.schema, self.keys, self.merge = root, schema, list(keys), merge
 
     def last_commit(self, spark: SparkSession) -> tuple[int, int | None] | None:
         """The newest batch that can be read and the snapshot below it; ``None`` before the first."""
@@ -44,7 +50,7 @@ class VersionedTable:
         return (row["batch"], row["snapshot"]) if row else None
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The table as of its last commit: each key's newest row."""
+        """The table as of its last commit."""
         last = self.last_commit(spark)
         if last is None:
             return spark.createDataFrame([], self.schema)
@@ -57,6 +63,9 @@ class VersionedTable:
         if snapshot is not None:
             rows = self._part(spark, "snapshots", [snapshot], True).unionByName(rows)
         values = [name for name in self.schema.names if name not in self.keys]
+        if self.merge == "sum":
+            added = [F.sum(name).cast(self.schema[name].dataType).alias(name) for name in values]
+            return rows.groupBy(*self.keys).agg(*added).select(self.schema.names)
         newest = F.max_by(F.struct(*values), "_version").alias("_newest")
         return rows.groupBy(*self.keys).agg(newest).select(*self.keys, "_newest.*").select(self.schema.names)
 
@@ -83,7 +92,7 @@ class VersionedTable:
         fold_every: int = FOLD_EVERY,
         before_commit: Callable[[int], None] | None = None,
     ) -> None:
-        """Insert rows, or replace those with the same keys."""
+        """Insert rows, or merge them with those with the same keys."""
         spark = rows.sparkSession
         rows.write.mode("overwrite").parquet(f"{self.root}/changes/version={batch}")
         last = self.last_commit(spark)

@@ -105,3 +105,36 @@ def test_a_stream_needs_history(spark, tmp_path, trades):
     result = adaptive_sliding(stream, history=trades(("23:50",)), as_of=NOW)
     assert result.isStreaming
     assert "12 minutes" in result._jdf.queryExecution().toString()
+
+
+def test_counts_of_parts_give_the_statistics_of_all(spark, trades):
+    from streamwin.operators import counted_delay_stats, delay_stats, estimate_delay, estimate_delay_of_counts, second_counts
+
+    parts = [
+        trades(*[(f"12:{m:02d}:{m % 7:02d}", "u", 1.0, 1) for m in range(start, 60, 7)], (None, "u", 1.0, 1))
+        for start in range(7)
+    ]
+    counts = None
+    for part in parts:
+        fresh = second_counts(part)
+        counts = fresh if counts is None else counts.unionByName(fresh)
+    added = counts.groupBy("second").sum("n").withColumnRenamed("sum(n)", "n")
+    everything = parts[0]
+    for part in parts[1:]:
+        everything = everything.unionByName(part)
+    for as_of in ("2024-03-01 13:00:00", "2024-03-01 12:30:00"):
+        assert counted_delay_stats(added, as_of=as_of).collect() == delay_stats(everything, as_of=as_of).collect()
+        assert estimate_delay_of_counts(added, as_of=as_of) == estimate_delay(everything, as_of=as_of)
+    empty = second_counts(trades((None, "u", 1.0, 1)))
+    assert estimate_delay_of_counts(empty, as_of="2024-03-01 13:00:00") == "6 minutes"
+
+
+def test_the_label_of_a_batch_starts_no_job(spark, trades):
+    from streamwin.operators import adaptive_sliding
+
+    events = trades(("12:00", "u", 1.0, 1), ("12:30", "u", 1.0, 1))
+    spark.sparkContext.setJobGroup("label", "building the plan")
+    built = adaptive_sliding(events, as_of="2024-03-01 13:00:00")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("label")
+    assert {row.watermark_delay for row in built.collect()} == {"30 minutes"}
+    spark.sparkContext.setJobGroup("", "")

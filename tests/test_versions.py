@@ -99,3 +99,13 @@ def test_slices_come_in_order_of_arrival(spark, tmp_path, files):
     assert write_slices(sliced, again, "slice", staged=str(tmp_path / "staged again")) == 4
     parts = sorted((p for p in os.listdir(again) if p.startswith("part")), key=lambda p: os.stat(f"{again}/{p}").st_mtime_ns)
     assert [spark.read.parquet(f"{again}/{p}").count() for p in parts] == [9, 10, 10, 10]
+
+
+def test_counts_are_added_once_for_each_batch(spark, rows, tmp_path):
+    table = VersionedTable(str(tmp_path / "counts"), rows(a=1).schema, ["k"], merge="sum")
+    for batch in range(5):
+        for _ in range(2):
+            table.put_changes(rows(a=1, **{f"k{batch % 2}": 10}), batch, fold_every=3)
+    assert content(spark, table) == {"a": 5, "k0": 30, "k1": 20}
+    with pytest.raises(ValueError, match="merged"):
+        VersionedTable("x", rows(a=1).schema, merge="other")
