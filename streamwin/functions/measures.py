@@ -59,6 +59,18 @@ class Measures:
         }
         return [part for name in self.names for part in forms[name]()]
 
+    def combined(self) -> list[Column]:
+        """Panes put together into a wider pane."""
+        forms = {"_price_max": F.max, "_price_min": F.min}
+        names = {
+            "event_count": ["_rows"],
+            "total_volume": ["_volume"],
+            "avg_price": ["_price_sum", "_priced"],
+            "max_price": ["_price_max"],
+            "min_price": ["_price_min"],
+        }
+        return [forms.get(part, F.sum)(part).alias(part) for name in self.names for part in names[name]]
+
     def merged(self) -> list[Column]:
         forms = {
             "event_count": lambda: F.sum("_rows"),

@@ -27,6 +27,9 @@ SLIDE = "1 minute"
 WINDOW_DELAY = "5 minutes"
 GRANULARITIES = ("1 minute", "5 minutes", "15 minutes")
 
+# More panes than this in a window are put together by doubling.
+_MANY_PANES = 32
+
 # Fixed value: how Spark marks a column by which a watermark closes state.
 _WATERMARK = "spark.watermarkDelayMs"
 
@@ -64,7 +67,9 @@ def sliding(
 ) -> DataFrame:
     """Overlapping windows: one of width ``size`` starting every ``slide``.
 
-    ``panes`` chooses the two-step form; by default batch input uses it.
+    ``panes`` chooses the form that builds windows from panes; by default batch
+    input uses it. If a window has more than 32 panes, they are first put
+    together to panes of doubled widths, and a window is made of a few of those.
     """
     return _layout(_sliding(events, size, slide, delay, keys, measures, event_time, panes), keys, measures)
 
@@ -200,7 +205,10 @@ def _sliding(events, size, slide, delay, keys, measures, event_time, panes) -> D
         raise ValueError("the pane form is for batch input")
     width, step = interval_micros(size), interval_micros(slide)
     if panes and step < width:
-        narrow = _panes(events, gcd(width, step), keys, measures, event_time)
+        pane = gcd(width, step)
+        narrow = _panes(events, pane, keys, measures, event_time)
+        if width // pane > _MANY_PANES:
+            return _from_doubled(narrow, pane, width // pane, step // pane, keys, measures)
         return narrow.groupBy(F.window("_pane", size, slide), *keys).agg(*measures.merged())
     marked = events.withWatermark(event_time, delay)
     return marked.groupBy(F.window(event_time, size, slide), *keys).agg(*measures.direct())
@@ -212,6 +220,34 @@ def _panes(events: DataFrame, width: int, keys, measures: Measures, event_time:
     return events.groupBy(pane, *keys).agg(*measures.partial())
 
 
+def _from_doubled(panes: DataFrame, pane: int, count: int, step: int, keys, measures: Measures) -> DataFrame:
+    """Windows of ``count`` panes, one every ``step`` panes, from panes of doubled widths.
+
+    Pane ``at`` of level k spans 2**k narrow ones from ``at * 2**k``. A window
+    takes the widest that fit: those it contains but whose doubled pane it does
+    not contain, two of each level at most. So a pane of level k goes to at
+    most 2**k windows, and a narrow one with all its doublings to some
+    ``log2(count)`` each rather than to ``count / step``.
+    """
+    top = count.bit_length() - 1
+    number = F.floor(F.unix_micros("_pane") / pane).cast("bigint")
+    levels = panes.select("*", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_level"), number.alias("_number"))
+    wide = levels.groupBy("_level", F.expr("shiftright(_number, _level)").alias("_at"), *keys).agg(*measures.combined())
+    width = F.expr("shiftleft(1L, _level)")
+    start = F.col("_at") * width
+    even = F.pmod("_at", F.lit(2)) == 0
+    contained = start + width - count
+    first = F.when(even, contained).otherwise(F.greatest(start - width + 1, contained))
+    # The top level has no doubled panes that fit.
+    last = F.when(even & (F.col("_level") < top), F.least(start, start + 2 * width - count - 1)).otherwise(start)
+    first = F.when(~even & (F.col("_level") == top), contained).otherwise(first)
+    begin = F.ceil(first / step).cast("bigint") * step
+    fitting = F.when(begin <= last, F.sequence(begin, last, F.lit(step).cast("bigint")))
+    rows = wide.select("*", F.explode(fitting).alias("_first")).groupBy("_first", *keys).agg(*measures.merged())
+    bounds = [F.timestamp_micros(F.col("_first") * pane), F.timestamp_micros((F.col("_first") + count) * pane)]
+    return rows.withColumn("window", F.struct(bounds[0].alias("start"), bounds[1].alias("end")))
+
+
 def _slots(at: Column, widths: dict[str, int]) -> Column:
     """The window of each granularity that ``at`` falls into, as an array of structs."""
     micros = F.unix_micros(at)

@@ -157,6 +157,8 @@ QUERIES = {
     "window_tumbling": _over_events(lambda ev: op.tumbling(ev, measures=FULL_EXACT)),
     "window_sliding": _over_events(lambda ev: op.sliding(ev, measures=FULL_EXACT)),
     "window_sliding_direct": _over_events(lambda ev: op.sliding(ev, measures=FULL_EXACT, panes=False)),
+    "window_sliding_day": _over_events(lambda ev: op.sliding(ev, "1 day", "1 minute", measures=FULL_EXACT)),
+    "window_sliding_shift": _over_events(lambda ev: op.sliding(ev, "7 hours", "3 minutes", measures=FULL_EXACT)),
     "window_session": _over_events(lambda ev: op.session(ev, measures=FULL_EXACT)),
     "window_session_direct": _over_events(lambda ev: op.session(ev, measures=FULL_EXACT, cells=False)),
     "window_session_10min": _over_events(lambda ev: op.session(ev, "10 minutes", measures=FULL_EXACT)),
@@ -200,6 +202,8 @@ ORACLES = {
     "window_tumbling": tumbling_sql("5 minutes", FULL_SQL),
     "window_sliding": sliding_sql("5 minutes", "1 minute", 5, FULL_SQL),
     "window_sliding_direct": sliding_sql("5 minutes", "1 minute", 5, FULL_SQL),
+    "window_sliding_day": sliding_sql("1 day", "1 minute", 1440, FULL_SQL),
+    "window_sliding_shift": sliding_sql("7 hours", "3 minutes", 140, FULL_SQL),
     "window_session": session_sql("30 minutes", FULL_SQL, "user_id"),
     "window_session_direct": session_sql("30 minutes", FULL_SQL, "user_id"),
     "window_session_10min": session_sql("10 minutes", FULL_SQL, "user_id"),

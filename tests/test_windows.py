@@ -272,3 +272,17 @@ def test_cells_of_many_timeouts_stay_few(spark):
     cells = events.selectExpr("length(bin(cast(split(gap, ' ')[0] as bigint))) - 1 as p", "unix_micros(event_time) as t")
     count = cells.selectExpr("p", "shiftright(t, p)").distinct().count()
     assert count <= 4 * 20_000 / 1200 + 3
+
+
+@pytest.mark.parametrize(
+    "size, slide", [("33 minutes", "1 minute"), ("64 minutes", "1 minute"), ("100 minutes", "3 minutes"), ("7 hours", "5 minutes")]
+)
+def test_doubled_panes_give_the_direct_windows(trades, size, slide):
+    rows = [(f"{h:02d}:{(h * 17 + k * 7) % 60:02d}", f"u{k % 2}", float(h + k), k) for h in range(0, 24, 3) for k in range(4)]
+    events = trades(*rows, ("12:00", "u0", None, None))
+    for keys in ((), ("user_id",)):
+        options = dict(keys=keys, measures=FULL.exact(2))
+        doubled = sliding(events, size, slide, **options)
+        direct = sliding(events, size, slide, panes=False, **options)
+        assert doubled.columns == direct.columns
+        assert sorted(map(str, doubled.collect())) == sorted(map(str, direct.collect()))
