@@ -169,7 +169,8 @@ def brute_components(rows):
     return {doc_id: (len(sets[doc_id]), find(doc_id)) for doc_id in sets}
 
 
-def test_near_duplicates_against_brute_force(make_docs):
+@pytest.mark.parametrize("exact", [False, True])
+def test_near_duplicates_against_brute_force(make_docs, exact):
     rng = random.Random(5)
     base = [words(size, 500 * k).split() for k, size in enumerate((3, 5, 8, 40, 120, 400))]
     rows = [(0, "", "s"), (1, "One two", "s"), (2, "one TWO", "s"), (3, "É one", "s"), (4, "é one", "s")]
@@ -178,12 +179,30 @@ def test_near_duplicates_against_brute_force(make_docs):
         for _ in range(rng.randrange(1 + len(text) // 12)):
             text[rng.randrange(len(text))] = f"x{rng.randrange(40)}"
         rows.append((doc_id, " ".join(text), "s"))
-    found = near_duplicates.near_duplicates(make_docs(*rows)).collect()
+    found = near_duplicates.near_duplicates(make_docs(*rows), exact=exact).collect()
     wanted = brute_components([(doc_id, text) for doc_id, text, _ in rows])
     assert {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in found} == wanted
     assert all(row["kept"] == (row["doc_id"] == row["component_id"]) for row in found)
 
 
+def test_hot_and_usual_keys_meet_their_one_row(llm):
+    many = llm.range(5000).selectExpr("id", "if(id % 3 = 0, -1, id div 4) as key")
+    one = many.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    least = {}
+    for row in many.orderBy("id").collect():
+        least.setdefault(row["key"], row["id"])
+    found = near_duplicates._with_one(many, one, "key").collect()
+    assert len(found) == 5000
+    assert all(row["least"] == least[row["key"]] for row in found)
+
+
+def test_small_sets_are_their_own_signatures():
+    few = near_duplicates.shingles(words(20, 3).encode())
+    assert len(few) == near_duplicates.WHOLE and (near_duplicates.signature(few) == few).all()
+    many = near_duplicates.shingles(words(400, 3).encode())
+    assert len(near_duplicates.signature(many)) <= 64
+
+
 def test_components_of_a_path_and_a_star(llm):
     links = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 120)] + [(7, 7)]
     found = components(llm.createDataFrame(links, "a long, b long")).collect()
