@@ -21,8 +21,6 @@ WHOLE = 16
 # Links of 75 % agree in 48 of 64 coordinates on average and in fewer than 26
 # once in 10^10. A text therefore posts all but its 40 % most frequent values.
 MATCHES = 40
-# Fewer than so many keys can each have more than this part of all rows.
-HOT_KEYS = 1000
 _FACTORS = multipliers(WORDS, 3)
 
 
@@ -107,20 +105,6 @@ def _possible(a: str, b: str) -> Column:
     return fits & ((100 + SHARE) * left >= SHARE * (size_a + size_b))
 
 
-def _with_one(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
-    """The rows of ``many``, a stored table, each with the row of ``one`` that has its key.
-
-    ``one`` has one row for each key, and in ``n`` how many rows of ``many``
-    have it. Fewer than 1000 keys can have more than a thousandth of all rows;
-    those are broadcast, so that no task gets all rows of a frequent key.
-    """
-    one = stored(one, "one-per-key")
-    most = many.count() / HOT_KEYS
-    hot = F.broadcast(one.where(F.col("n") > most))
-    usual = many.join(hot.select(key), key, "left_anti").join(one.where(F.col("n") <= most), key)
-    return many.join(hot, key).unionByName(usual).drop("n")
-
-
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets are alike enough."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("found").alias("found_a"))
@@ -138,7 +122,8 @@ def links(docs: DataFrame, signatures: DataFrame, *, exact: bool = False) -> Dat
     Signatures are posted under the values of their coordinates, the most
     frequent ones left out that no link needs; texts without a partner there
     go no further, which ``exact`` leaves out. The others post the prefixes of
-    their full sets. On each value all are first compared with its first text. What is then connected
+    their full sets. On each value all are first compared with its first text.
+    What is then connected
     needs no further comparison: texts outside the largest part that meet on a
     value are compared with those of the other parts, and with no others, so
     that a large group of copies is never compared with itself.
@@ -155,9 +140,9 @@ def links(docs: DataFrame, signatures: DataFrame, *, exact: bool = False) -> Dat
     postings = stored(_prefixes(sets, "found", SHARE), "postings")
 
     heads = postings.groupBy("value").agg(F.min(F.struct("doc_id", "size", "place")).alias("head"), F.count("*").alias("n"))
-    heads = heads.where("n > 1").select("value", "n", F.col("head").alias("h"))
-    near = _with_one(postings, heads, "value").withColumn("p", F.struct("doc_id", "size", "place"))
-    near = near.where((F.col("p.doc_id") != F.col("h.doc_id")) & _possible("p", "h"))
+    heads = heads.where("n > 1").select("value", "head.*")
+    p, h = postings.alias("p"), heads.alias("h")
+    near = p.join(h, (F.col("p.value") == F.col("h.value")) & (F.col("p.doc_id") != F.col("h.doc_id")) & _possible("p", "h"))
     pairs = near.select(F.col("h.doc_id").alias("a"), F.col("p.doc_id").alias("b")).distinct()
     first = stored(_linked(pairs, sets), "links")
 
@@ -192,8 +177,8 @@ def near_duplicates(
     compared. A text without words is linked with nothing. A row without an id
     is compared with none and kept. Rows that repeat an id are in one
     component, all kept if it is theirs. ``exact`` holds all full sets to each
-    other, not only those of texts whose signatures meet, at several times the
-    cost; then no link can be lost by chance.
+    other, not only those of texts whose signatures meet; then no link can be
+    lost by chance.
     """
     texts = id_and_text(docs, id_column, text_column)
     rows = stored(
@@ -202,16 +187,17 @@ def near_duplicates(
         ),
         "signatures",
     )
-    has_set = F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()
-    named = rows.where(has_set)
-    classes = named.groupBy("set_key").agg(
-        F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"), F.count("*").alias("n")
-    )
+    named = rows.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
     chosen = classes.groupBy(F.col("first_id").alias("doc_id")).agg(F.first("signature").alias("signature"))
     roots = components(links(texts, chosen, exact=exact)).select(F.col("node").alias("first_id"), "root")
-    rooted = classes.drop("signature").join(roots, "first_id", "left")
-    rooted = rooted.select("set_key", "n", F.coalesce("root", "first_id").alias("component_id"))
-    found = _with_one(named.select("doc_id", "n_shingles", "set_key"), rooted, "set_key").drop("set_key")
-    lone = rows.where(~has_set).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    return found.unionByName(lone).select("doc_id", "n_shingles", "component_id", kept)
+    component = F.coalesce("root", "first_id", "doc_id")
+    found = rows.drop("signature").join(
+        classes.join(roots, "first_id", "left").select("set_key", "first_id", "root"), "set_key", "left"
+    )
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    )

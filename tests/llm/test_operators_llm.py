@@ -8,7 +8,6 @@ import numpy as np
 import public_tokenizers
 import pytest
 from llm_fixtures import awkward, llm, make_docs, no_docs, words  # noqa: F401
-from pyspark.sql import functions as F
 
 from streamwin.llm import (
     digests,
@@ -186,17 +185,6 @@ def test_near_duplicates_against_brute_force(make_docs, exact):
     assert all(row["kept"] == (row["doc_id"] == row["component_id"]) for row in found)
 
 
-def test_hot_and_usual_keys_meet_their_one_row(llm):
-    many = llm.range(5000).selectExpr("id", "if(id % 3 = 0, -1, id div 4) as key")
-    one = many.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"))
-    least = {}
-    for row in many.orderBy("id").collect():
-        least.setdefault(row["key"], row["id"])
-    found = near_duplicates._with_one(many, one, "key").collect()
-    assert len(found) == 5000
-    assert all(row["least"] == least[row["key"]] for row in found)
-
-
 def test_small_sets_are_their_own_signatures():
     few = near_duplicates.shingles(words(20, 3).encode())
     assert len(few) == near_duplicates.WHOLE and (near_duplicates.signature(few) == few).all()
