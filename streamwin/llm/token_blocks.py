@@ -22,15 +22,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import id_and_text, partitions, slices, utf8
+from .text import id_and_text, partitions, slices
 
 BLOCK = 128
 PERCENTILES = (75, 90, 97, 100)
 SEGMENT_IDS = 1 << 16
+# Texts whose words are numbered together.
+TEXTS_AT_ONCE = 2048
 _MAGIC = b"PFB1"
 _HEAD = np.dtype([("ids", "<u4"), ("blocks", "<u4"), ("exceptions", "<u4"), ("payload", "<u4")])
 _INDEX = np.dtype([("smallest", "<u4"), ("payload", "<u4"), ("exceptions", "<u4"), ("width", "u1")])
@@ -177,9 +180,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parted = self._encode(["Ab.,"])[0].tolist() == self._encode(["ab", ".,"])[0].tolist()
         self.words, self.word_ids = _Codes(), _Ragged()
         self.parts, self.part_ids = _Codes(), _Ragged()
+        whole = self.tokenizer.encode("a b  the", add_special_tokens=False).ids
+        if whole != self._encode(["a", "b", "the"])[0].tolist():
+            raise ValueError(f"tokens of {path} reach across blanks: its texts can't be encoded word by word")
+        self.parted = self._encode(["Ab.,"])[0].tolist() == self._encode(["ab", ".,"])[0].tolist()
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
@@ -203,9 +209,9 @@ class WordEncoder:
                     codes.append(part(word[len(letters) :]))
                     sizes.append(2)
                     continue
-            else:
+            elif word:
                 codes.append(part(word))
-            sizes.append(1)
+            sizes.append(1 if word else 0)
         self.words.fresh = []
         if self.parts.fresh:
             fresh = [part.decode() for part in self.parts.fresh]
@@ -220,20 +226,21 @@ class WordEncoder:
         ends = np.r_[0, np.cumsum(counts)][np.r_[0, np.cumsum(sizes)]]
         self.word_ids.append(ids, np.diff(ends))
 
-    def encode(self, batch: list[bytes]) -> list[np.ndarray]:
-        """The ids of each UTF-8 text."""
+    def encode(self, batch: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Arrow cuts and numbers the words; only a batch's distinct ones are looked up here."""
         if len(self.words) > self.CACHED_WORDS:
             self.words, self.word_ids = _Codes(), _Ragged()
         if len(self.parts) > self.CACHED_PARTS:
             self.parts, self.part_ids = _Codes(), _Ragged()
-        cut = [text.split() for text in batch]
-        counts = np.cumsum([len(words) for words in cut])
-        codes = np.fromiter(map(self.words.__getitem__, chain.from_iterable(cut)), np.int64, counts[-1] if cut else 0)
+        cut = pc.ascii_split_whitespace(pc.fill_null(batch, ""))
+        words = cut.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_pylist()
+        known = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
         if self.words.fresh:
             self._learn()
-        ids, sizes = self.word_ids.gather(codes)
-        bounds = np.r_[0, np.cumsum(sizes)][counts] if cut else []
-        return np.split(ids, bounds[:-1])
+        ids, sizes = self.word_ids.gather(known[words.indices.to_numpy()])
+        ends = (cut.offsets.to_numpy() - cut.offsets[0].as_py())[1:]
+        return np.split(ids, np.r_[0, np.cumsum(sizes)][ends][:-1])
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -254,8 +261,8 @@ def _segments(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int) -
         names = ["shard", "segment", "first_id", "n_ids", "doc_ids", "doc_sizes", "blocks"]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
-    for part in slices(batches):
-        encoded = _encoders[vocabulary].encode(utf8(part.column(1)))
+    for part in slices(batches, TEXTS_AT_ONCE):
+        encoded = _encoders[vocabulary].encode(part.column(1))
         for doc_id, ids in zip(part.column(0).to_pylist(), encoded, strict=True):
             doc_ids.append(doc_id)
             parts.append(np.append(ids, np.uint32(end_id)))
