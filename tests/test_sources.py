@@ -25,6 +25,7 @@ from streamwin.sources import (
     write_kafka,
     write_metrics,
 )
+from streamwin.streaming.runs import session_conf
 
 ROWS = [
     (at("12:00:00.123456"), "AAPL", 101.25, 10, "user_1", "BUY"),
@@ -151,6 +152,64 @@ def test_metrics_written_and_read_back(spark, tmp_path):
     assert latest == {"latency": 3, "throughput": 1, "memory": 1, "watermark_delays": 1}
 
 
+def test_metric_reads_list_the_latest_runs_only(spark, tmp_path):
+    samples = spark.createDataFrame(SAMPLES, METRIC_SCHEMA)
+    place = str(tmp_path / "metrics")
+    seen = set()
+    for day in range(1, 6):
+        write_metrics(samples, place, f"2025010{day}_000000", splits=2)
+        files = read_metrics(spark, place).inputFiles()
+        assert all(f"run=2025010{day}_" in file for file in files)
+        seen.add(len(files))
+    assert len(seen) == 1
+    write_metrics(samples.withColumn("value", F.lit(-1.0)), place, "20240101_000000")
+    assert sorted(map(repr, read_metrics(spark, place).collect())) == sorted(map(repr, samples.collect()))
+    assert [name for name in os.listdir(place) if name.startswith("_latest")] == ["_latest.json"]
+    os.remove(f"{place}/_latest.json")
+    assert read_metrics(spark, place).count() == len(SAMPLES)
+    assert all("run=20250105_" in file for file in read_metrics(spark, place).inputFiles())
+
+
+def test_run_is_not_seen_before_its_latest_file(spark, tmp_path, monkeypatch):
+    from streamwin.sources import metric_files
+
+    samples = spark.createDataFrame(SAMPLES, METRIC_SCHEMA)
+    place = str(tmp_path / "metrics")
+    write_metrics(samples, place, "20250101_000000")
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(metric_files, "replace_text", crash)
+        with pytest.raises(OSError, match="lost"):
+            write_metrics(samples.limit(1), place, "20250102_000000")
+    assert read_metrics(spark, place).count() == len(SAMPLES)
+    assert all("run=20250101_" in file for file in read_metrics(spark, place).inputFiles())
+    write_metrics(samples.limit(1), place, "20250102_000000")
+    assert read_metrics(spark, place).filter("metric = 'latency'").count() == 1
+
+
+def test_samples_of_one_metric_are_written_by_several_tasks(spark, tmp_path):
+    samples = spark.range(2000).selectExpr(
+        "'latency' as metric", "timestamp_seconds(id) as timestamp", "'w' as window_type",
+        "cast(id as double) as value", "cast(null as string) as label",
+    )
+    with session_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):  # Small ones are joined.
+        write_metrics(samples, str(tmp_path / "m"), "1:a/b", splits=4)
+    back = read_metrics(spark, str(tmp_path / "m"))
+    assert back.agg(F.sum("value")).first()[0] == sum(range(2000)) and back.count() == 2000
+    assert 1 < len(back.inputFiles()) <= 4
+    write_metrics(samples.limit(1), str(tmp_path / "m"), "1:a")
+    assert read_metrics(spark, str(tmp_path / "m")).count() == 2000
+
+
+def test_no_metric_runs(spark, tmp_path):
+    assert read_metrics(spark, str(tmp_path / "none")).count() == 0
+    write_metrics(spark.createDataFrame([], METRIC_SCHEMA), str(tmp_path / "m"), "1")
+    assert read_metrics(spark, str(tmp_path / "m")).collect() == []
+
+
 def test_flat_metric_files_take_the_newest_of_each(spark, tmp_path):
     def file(name, text, changed):
         (tmp_path / name).write_text(text)
