@@ -22,21 +22,33 @@ def _with_text(docs: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out the documents that the network predicts to be bad."""
+    """Leave out the documents that the network predicts to be bad.
+
+    Null and empty texts are scored as empty, rows that repeat an id each for
+    itself. Without labels of both classes all stay.
+    """
     importable(spark)
     network = quality_cnn.learn(docs, table(spark, sf_dir, "labels"))
     return quality_cnn.keep_good(docs, network, threshold=0.3)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave one document of each group of near-duplicates, that with the least id."""
+    """Leave one document of each group of near-duplicates, that with the least id.
+
+    Texts without words are linked with nothing and stay. Rows that repeat an
+    id are one document: they stay or go together, null ids too.
+    """
     importable(spark)
     kept = near_duplicates.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take out passages that an earlier document has; a text of nothing else goes."""
+    """Take out passages that an earlier document has; a text of nothing else goes.
+
+    Null and empty texts stay as empty ones. Earlier is a smaller id, so rows
+    that repeat an id leave each other alone.
+    """
     importable(spark)
     keep = tuple(name for name in docs.columns if name not in ("doc_id", "text"))
     left = substrings.remove_repeats(docs, keep=keep, tidy=False)

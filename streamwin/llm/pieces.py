@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import ROWS_AT_ONCE, partitions, per_batch, texts
+from .text import ROWS_AT_ONCE, nullable, partitions, per_batch, texts, with_nulls
 
 SPACE = "▁"
 # Boundaries of a unit are bits of a long; the few longer words are encoded by the library.
@@ -266,7 +266,7 @@ def encode(
                 rows.extend(b"".join(map(known.__getitem__, words)) for words in parts)
         sizes = np.r_[0, np.cumsum([len(row) // 4 for row in rows])].astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.frombuffer(b"".join(rows), np.int32)))
-        return pa.table([table["doc_id"], ids, table["kept"]], names=["doc_id", "ids", "kept"])
+        return pa.table([table["doc_id"], ids, with_nulls(table["kept"])], names=["doc_id", "ids", "kept"])
 
     grouped = dealt.groupBy("block")
     posted = grouped.applyInArrow(post, "block int, word string")
@@ -275,10 +275,9 @@ def encode(
     words = dealt_words.groupBy("word").agg(F.collect_list("block").alias("blocks"))
     encoded = encode_words(words, piece_table(spark, model), first_byte)
     replies = encoded.select(F.explode("blocks").alias("block"), "word", "ids")
-    kind = dealt.schema["kept"].dataType.simpleString()
-    return grouped.cogroup(replies.groupBy("block")).applyInArrow(
-        put_together, f"doc_id long, ids array<int>, kept {kind}"
-    )
+    result = T.StructType().add("doc_id", "long").add("ids", T.ArrayType(T.IntegerType()))
+    result = result.add("kept", nullable(dealt.schema["kept"].dataType))
+    return grouped.cogroup(replies.groupBy("block")).applyInArrow(put_together, result)
 
 
 _models: dict = {}

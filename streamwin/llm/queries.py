@@ -148,7 +148,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = toxicity.learn(docs, table(spark, folder, "labels"))
     found = toxicity.score(docs, model, threshold=0.5)
-    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted", "worst_start", "worst_stop")
 
 
 def op9_rules(spark: SparkSession, folder: str) -> DataFrame:

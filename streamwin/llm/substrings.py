@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .hashing import multipliers, window_hashes, word_hashes
-from .text import partitions
+from .text import nullable, partitions, with_nulls
 
 WINDOW = 13
 PERIOD = 7
@@ -265,7 +266,7 @@ def remove_repeats(
             pa.array(left, pa.binary()).cast(pa.string()),
             pa.array([len(words) for words in block.words], pa.int64()),
             pa.array(removed, pa.int64()),
-            table["kept"],
+            with_nulls(table["kept"]),
         ]
         return pa.table(columns, names=["doc_id", "text", "n_words", "n_removed", "kept"])
 
@@ -274,5 +275,5 @@ def remove_repeats(
     windows = texts.cogroup(shared.groupBy("block")).applyInArrow(post_windows, _POSTED)
     earlier = windows.groupBy("bucket").applyInArrow(_earlier_windows, _REPLY)
     replies = shared.unionByName(earlier).groupBy("block")
-    kind = dealt.schema["kept"].dataType.simpleString()
-    return texts.cogroup(replies).applyInArrow(cut, f"doc_id long, text string, n_words long, n_removed long, kept {kind}")
+    result = T.StructType().add("doc_id", "long").add("text", "string").add("n_words", "long").add("n_removed", "long")
+    return texts.cogroup(replies).applyInArrow(cut, result.add("kept", nullable(dealt.schema["kept"].dataType)))

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.scratch import scratch_folder
 
@@ -49,6 +50,36 @@ def id_and_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
 
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed on every level, as returned by functions over Arrow tables."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(field.name, nullable(field.dataType)) for field in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType))
+    return kind
+
+
+def with_nulls(column: pa.ChunkedArray) -> pa.ChunkedArray:
+    """The same values under the Arrow type of :func:`nullable`."""
+    kind = _with_nulls(column.type)
+    # Types that differ in what may be null count as equal unless fields are compared.
+    return column if kind.equals(column.type, check_metadata=True) else column.cast(kind)
+
+
+def _with_nulls(kind: pa.DataType) -> pa.DataType:
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(field.name, _with_nulls(field.type), metadata=field.metadata) for field in kind])
+    if pa.types.is_list(kind):
+        field = kind.value_field
+        return pa.list_(pa.field(field.name, _with_nulls(field.type), metadata=field.metadata))
+    if pa.types.is_map(kind):
+        key, item = kind.key_field, kind.item_field
+        return pa.map_(key.with_type(_with_nulls(key.type)), pa.field(item.name, _with_nulls(item.type)))
+    return kind
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Write a table to the folder all executors share and read it back.
 
@@ -85,7 +116,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def held_out(id_column: str = "doc_id"):
-    """One row in five, by the CRC-32 of the id's digits, is never learned from."""
+    """One row in five, by the CRC-32 of the id's digits, is never learned from. Null for a null id."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0
 
 

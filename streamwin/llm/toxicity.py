@@ -19,8 +19,8 @@ MOST_FEATURES = 200_000
 PREFIXES = (4, 5, 6)
 LEAST_WEIGHT = 0.3
 _SENTENCE = re.compile(r"[^.!?\n]+")
-# Sentence ends stand alone, other marks vanish.
-_MARKS = str.maketrans({**dict.fromkeys(",;:|*$%&#\"()[]<>", " "), **dict.fromkeys(".!?\n", f" {_END} ")})
+# Sentence ends stand alone, other marks vanish, and so does the sign for an end where a text has it.
+_MARKS = str.maketrans({**dict.fromkeys(",;:|*$%&#\"()[]<>" + _END, " "), **dict.fromkeys(".!?\n", f" {_END} ")})
 
 
 def words_and_ends(text: str) -> list[str]:
@@ -74,7 +74,16 @@ class Model:
 
     def score(self, text: str) -> float:
         """Noisy-or: the text is toxic if any of its sentences is."""
-        return float(-np.expm1(_log_clean(self.sentence_logits(text)).sum()))
+        return 0.0 - float(np.expm1(_log_clean(self.sentence_logits(text)).sum()))
+
+    def worst_sentence(self, text: str) -> tuple[int, int] | None:
+        """Start and stop, in code points, of the sentence that speaks most for toxicity; the first of equal ones."""
+        most, found = -np.inf, None
+        for match in _SENTENCE.finditer(text):
+            logits = self.sentence_logits(match[0])
+            if len(logits) and logits[0] > most:
+                most, found = logits[0], match.span()
+        return found
 
 
 def _log_clean(logits: np.ndarray) -> np.ndarray:
@@ -160,18 +169,27 @@ def learn(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, text_c
 def score(
     docs: DataFrame, model: Model, *, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``doc_id, score, predicted`` of every whole text; no shuffle.
+    """``doc_id, score, worst_start, worst_stop, predicted`` of every whole text; no shuffle.
 
-    A null text scores 0 as an empty one does; a null id stays null; rows that
-    repeat an id are scored each; other columns are ignored.
+    Of a text predicted to be toxic the worst sentence is told by its code
+    points ``worst_start`` to ``worst_stop - 1``, else both are null. A null
+    text scores 0 as an empty one does; a null id stays null; rows that repeat
+    an id are scored each; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        scores = [shared.value.score(text) for text in texts(part.column(1))]
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
-
-    found = id_and_text(docs, id_column, text_column).mapInArrow(per_batch(work), "doc_id long, score double")
+        scores, spans = [], []
+        for text in texts(part.column(1)):
+            scores.append(shared.value.score(text))
+            spans.append((shared.value.worst_sentence(text) if scores[-1] >= threshold else None) or (None, None))
+        bounds = [pa.array([span[end] for span in spans], pa.int64()) for end in (0, 1)]
+        columns = [part.column(0), pa.array(scores, pa.float64()), *bounds]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "worst_start", "worst_stop"])
+
+    found = id_and_text(docs, id_column, text_column).mapInArrow(
+        per_batch(work), "doc_id long, score double, worst_start long, worst_stop long"
+    )
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -180,7 +198,9 @@ def offending_sentences(
 ) -> DataFrame:
     """``doc_id, start, stop, sentence, score`` of each sentence that is toxic by itself.
 
-    ``start`` and ``stop`` count code points of the text.
+    ``start`` and ``stop`` count code points of the text. A null, empty or
+    blank text has no sentence; a null id stays null; rows that repeat an id
+    are searched each.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

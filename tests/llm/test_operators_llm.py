@@ -229,6 +229,91 @@ def test_chunks_cover_long_texts():
     assert any(bytes(row[row < 256].astype(np.uint8)).endswith(b"***") for row in chunks[owner == 1])
 
 
+def test_digest_and_difference_against_plain_loops():
+    import math
+
+    def counts(data):
+        found = Counter()
+        for a, b, c in zip(data, data[1:], data[2:]):
+            mixed = (a * 0x9E3779B1 + b * 0x85EBCA6B + c * 0xC2B2AE35) % 2**32
+            mixed = (mixed ^ mixed >> 15) * 0x85EBCA6B % 2**32
+            found[mixed >> 24] += 1
+        return [found[bucket] for bucket in range(256)]
+
+    def codes(data):
+        found = counts(data)
+        limits = [sorted(found)[256 * quarter // 4] for quarter in (1, 2, 3)]
+        return [sum(count > limit for limit in limits) for count in found]
+
+    def plain(data):
+        quartiles = codes(data)
+        packed = [sum(quartiles[at + k] << 2 * k for k in range(4)) for at in range(0, 256, 4)]
+        return f"{round(math.log2(len(data) + 1) * 16):03x}" + bytes(packed).hex()
+
+    def alike(one, other):
+        a, b = codes(one), codes(other)
+        steps = abs(round(math.log2(len(one) + 1) * 16) - round(math.log2(len(other) + 1) * 16))
+        most = sum(a) + sum(b)
+        if not most:
+            return float(steps == 0)
+        return 1 - min(most, sum(abs(x - y) for x, y in zip(a, b)) + 12 * steps) / most
+
+    rng = random.Random(8)
+    made = [bytes(rng.choices(b"abcdefgh \xc3\xa9.", k=size)) for size in (0, 1, 2, 3, 40, 700, 5000)]
+    made += [made[-1][:4000] + made[-2], made[-1]]
+    for one in made:
+        assert digests.digest(one) == plain(one)
+        for other in made:
+            assert digests.likeness(digests.digest(one), digests.digest(other)) == pytest.approx(alike(one, other))
+
+
+def test_verdict_in_frames_equals_the_list_of_conditions(make_docs):
+    rng = random.Random(9)
+    letters = ["word", "WORD", "#", "!", "a", "one two", "x\nx\n", "yes!!", "$%&"]
+    texts = [" ".join(rng.choices(letters, k=rng.randrange(1, 120))) for _ in range(200)] + [None, "", " \n"]
+    docs = make_docs(*texts)
+    names = list(rules.FEATURES)
+    values = rules.statistics(docs).select("doc_id", *(make().cast("double").alias(n) for n, make in rules.FEATURES.items()))
+    features = {row["doc_id"]: {name: row[name] for name in names} for row in values.collect()}
+    middle = {name: sorted(row[name] for row in features.values())[len(features) // 2] for name in names}
+    made = [[rules.Condition(n, rng.random() < 0.5, middle[n]) for n in rng.sample(names, 2)] for _ in range(3)]
+    ordered = rules.DecisionList(tuple(map(tuple, made)))
+    seen = set()
+    for row in rules.apply_rules(docs, ordered).collect():
+        assert row["kept"] == (not row["base_failed"] and ordered.keeps(features[row["doc_id"]]))
+        seen.add((row["base_failed"], row["kept"]))
+    assert seen == {(True, False), (False, False), (False, True)}
+
+
+def test_worst_sentence_of_toxic_texts(make_docs):
+    texts = ["nice day. you fool! good", "fine day. good", None, "", "a fool\x01here. day", "FOOL. fool"]
+    found = {row["doc_id"]: row for row in toxicity.score(make_docs(*texts), TOXIC, threshold=0.3).collect()}
+    spans = {doc_id: (row["worst_start"], row["worst_stop"]) for doc_id, row in found.items()}
+    assert spans == {0: (9, 18), 1: (None, None), 2: (None, None), 3: (None, None), 4: (0, 11), 5: (0, 4)}
+    assert [str(found[doc_id]["score"]) for doc_id in (2, 3)] == ["0.0", "0.0"]
+    assert found[4]["score"] == TOXIC.score("a fool here. day")
+
+
+def test_vocabulary_that_reaches_across_blanks_is_refused():
+    with pytest.raises(ValueError, match="across blanks"):
+        token_blocks.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_word_encoder_of_odd_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(5)
+    letters = [*"aB  .,!?#*\t\n\x0b\x0c\r\x1c\x85\u2028日é́ß😀'-09", "the", "And", "  ", "\x00", "İ"]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(0, 25))) for _ in range(3000)]
+    library, encoder = Tokenizer.from_file(path), token_blocks.WordEncoder(path)
+    for start in range(0, len(texts), 1000):
+        part = texts[start : start + 1000]
+        for text, ids in zip(part, encoder.encode(pa.array(part)), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert [ids.tolist() for ids in encoder.encode(pa.array(["x", None, "", " a"]).slice(1))][:2] == [[], []]
+
+
 def test_offending_sentences(make_docs):
     found = toxicity.offending_sentences(make_docs("nice day. you fool! good", None), TOXIC, threshold=0.3).collect()
     assert [(row["doc_id"], row["sentence"], row["start"], row["stop"]) for row in found] == [(0, " you fool", 9, 18)]
