@@ -14,6 +14,7 @@ from ..schema import EVENT_SCHEMA, EVENT_TABLE_SCHEMA, market_view
 from ..sources import stream_events, write_events
 from ..streaming import (
     AVAILABLE_NOW,
+    ROWS_A_FILE,
     VersionedTable,
     add_slices,
     arrival_slice,
@@ -24,7 +25,7 @@ from ..streaming import (
     start_jdbc,
     start_snapshots,
     start_upserts,
-    write_slices,
+    write_even_slices,
 )
 from .queries_windows import FULL_EXACT, PAIR_EXACT, event_table, events_of, hybrid_sql, multi_sql, zoneless
 from .scratch import scratch_folder
@@ -137,9 +138,11 @@ def arrivals(spark: SparkSession, folder: str) -> DataFrame:
 def _replayed(spark: SparkSession, folder: str) -> DataFrame:
     """The events as a stream of slices, one micro-batch each, many of them late."""
     place = scratch_folder(spark, "replay")
-    write_slices(arrivals(spark, folder), f"{place}/files", "slice", staged=f"{place}/staged")
-    stream = stream_events(spark, f"{place}/files", EVENT_TABLE_SCHEMA, file_format="parquet", max_files_per_trigger=1)
-    return market_view(stream)
+    files = f"{place}/files"
+    each = write_even_slices(arrivals(spark, folder), files, "slice", staged=f"{place}/staged")
+    return market_view(
+        stream_events(spark, files, EVENT_TABLE_SCHEMA, file_format="parquet", max_files_per_trigger=each)
+    )
 
 
 def _through_slices(build: Callable[[DataFrame], DataFrame]):
@@ -174,7 +177,8 @@ def _late_restarts(spark: SparkSession, folder: str) -> DataFrame:
     """A run for every slice, each taking up state and watermark where the last one ended."""
     place = scratch_folder(spark, "restarts")
     files, schema = f"{place}/files", None
-    for _ in add_slices(arrivals(spark, folder), files, "slice", staged=f"{place}/staged", files=2):
+    slices = dict(staged=f"{place}/staged", most_rows=ROWS_A_FILE)
+    for _ in add_slices(arrivals(spark, folder), files, "slice", files=2, **slices):
         events = market_view(stream_events(spark, files, EVENT_TABLE_SCHEMA, file_format="parquet"))
         result = op.tumbling(events, delay=REPLAY_DELAY, measures=FULL_EXACT)
         schema = result.schema
@@ -199,7 +203,7 @@ def _adaptive_cycles(spark: SparkSession, folder: str) -> DataFrame:
     """A cycle for every slice, each with the delay that the events so far suggest."""
     place = scratch_folder(spark, "cycles")
     files, cycles = f"{place}/files", 0
-    for _ in add_slices(arrivals(spark, folder), files, "slice", staged=f"{place}/staged"):
+    for _ in add_slices(arrivals(spark, folder), files, "slice", staged=f"{place}/staged", most_rows=ROWS_A_FILE):
         cycles += 1
         counted_adaptive_cycle(
             market_view(stream_events(spark, files, EVENT_TABLE_SCHEMA, file_format="parquet")),

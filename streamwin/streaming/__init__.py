@@ -1,5 +1,5 @@
 from .progress import ProgressLog, late_rows, progress_samples, progress_table, record_progress
-from .replay import add_slices, arrival_slice, write_slices
+from .replay import ROWS_A_FILE, add_slices, arrival_slice, write_even_slices, write_slices
 from .runs import SCALE_CONF, finish, run_for, session_conf, start_at_scale
 from .versions import VersionedTable, start_snapshots, start_upserts
 from .writers import (
@@ -41,5 +41,6 @@ __all__ = [
     "start_jdbc",
     "start_snapshots",
     "start_upserts",
+    "write_even_slices",
     "write_slices",
 ]

@@ -4,36 +4,91 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.durations import interval_micros
 
+# Rows of a file, about. A file is read by one task, so a slice of more rows takes more files.
+ROWS_A_FILE = 100_000
+
 
 def arrival_slice(arrival: Column, width: str) -> Column:
     """The number of the stretch of time, ``width`` long, in which a row arrived; null for a null time."""
     return F.floor(F.unix_micros(arrival) / interval_micros(width)).cast("long")
 
 
-def add_slices(events: DataFrame, folder: str, slice_column: str, *, staged: str, files: int = 1) -> Iterator[int]:
+def add_slices(
+    events: DataFrame, folder: str, slice_column: str, *, staged: str, files: int = 1, most_rows: int | None = None
+) -> Iterator[int]:
     """Add the slices of a table to ``folder`` in their order; yields a slice's number once its files are there.
 
     A stream that follows the folder takes files in the order they were written.
     With one file for a slice, which is the default, a trigger of one file is one
     slice. Larger slices take more files, and a run after each slice then makes
-    it one micro-batch. Rows without a number are not replayed. The table is
-    read once, into ``staged``; what the driver keeps are the slices' numbers.
+    it one micro-batch. With ``most_rows`` a slice has no fewer files than that
+    many rows in each ask for. Rows without a number are not replayed. The table
+    is read once, into ``staged``; what the driver keeps are the slices' numbers
+    and sizes.
     """
-    spark, schema = events.sparkSession, events.drop(slice_column).schema
-    numbered = events.where(F.col(slice_column).isNotNull())
-    numbered.write.partitionBy(slice_column).parquet(staged)
-    parts = spark.read.schema(numbered.schema).parquet(staged)
-    for row in parts.select(slice_column).distinct().orderBy(slice_column).collect():
-        one = parts.where(F.col(slice_column) == row[0]).select(schema.names)
-        (one.coalesce(1) if files == 1 else one.repartition(files)).write.mode("append").parquet(folder)
-        yield row[0]
+    parts, sizes = _staged(events, slice_column, staged)
+    for number, rows in sizes:
+        _add(parts, folder, slice_column, number, max(files, _files(rows, most_rows)))
+        yield number
 
 
 def write_slices(events: DataFrame, folder: str, slice_column: str, *, staged: str, files: int = 1) -> int:
     """All of :func:`add_slices`; how many there were."""
     return sum(1 for _ in add_slices(events, folder, slice_column, staged=staged, files=files))
+
+
+def write_even_slices(
+    events: DataFrame, folder: str, slice_column: str, *, staged: str, most_rows: int = ROWS_A_FILE
+) -> int:
+    """All slices, each in the same number of files, which is returned: a trigger of so many files is one slice.
+
+    The largest slice sets the number. A slice with too few rows for it gets
+    files without rows besides.
+    """
+    parts, sizes = _staged(events, slice_column, staged)
+    files = max((_files(rows, most_rows) for _, rows in sizes), default=1)
+    spark, written = parts.sparkSession, 0
+    empty = f"{staged}-empty"
+    if files > 1:
+        parts.drop(slice_column).limit(0).coalesce(1).write.parquet(empty)
+    for at, (number, _) in enumerate(sizes, 1):
+        _add(parts, folder, slice_column, number, files)
+        for missing in range(len(_data_files(spark, folder)) - written, files):
+            _copy(spark, _data_files(spark, empty)[0], f"{folder}/part-empty-{at}-{missing}.parquet")
+        written += files
+    return files
+
+
+def _staged(events: DataFrame, slice_column: str, staged: str) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The rows that have a number, by slice, and each slice's number and rows, in order."""
+    numbered = events.where(F.col(slice_column).isNotNull())
+    numbered.write.partitionBy(slice_column).parquet(staged)
+    parts = events.sparkSession.read.schema(numbered.schema).parquet(staged)
+    found = parts.groupBy(slice_column).agg(F.count("*").alias("rows")).collect()
+    return parts.select(numbered.columns), sorted((row[0], row[1]) for row in found)
+
+
+def _files(rows: int, most_rows: int | None) -> int:
+    return 1 if most_rows is None else -(-rows // most_rows)
+
+
+def _add(parts: DataFrame, folder: str, slice_column: str, number: int, files: int) -> None:
+    one = parts.where(F.col(slice_column) == number).drop(slice_column)
+    (one.coalesce(1) if files == 1 else one.repartition(files)).write.mode("append").parquet(folder)
+
+
+def _data_files(spark: SparkSession, folder: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return [status.getPath() for status in found if status.getPath().getName().startswith("part-")]
+
+
+def _copy(spark: SparkSession, path, to: str) -> None:
+    conf, hadoop = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    goal = hadoop.Path(to)
+    hadoop.FileUtil.copy(path.getFileSystem(conf), path, goal.getFileSystem(conf), goal, False, conf)

@@ -5,7 +5,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from streamwin.streaming import VersionedTable, add_slices, arrival_slice, start_upserts, write_slices
+from streamwin.streaming import (
+    VersionedTable,
+    add_slices,
+    arrival_slice,
+    start_upserts,
+    write_even_slices,
+    write_slices,
+)
 
 
 @pytest.fixture
@@ -101,6 +108,29 @@ def test_slices_come_in_order_of_arrival(spark, tmp_path, files):
     assert [spark.read.parquet(f"{again}/{p}").count() for p in parts] == [9, 10, 10, 10]
 
 
+def test_a_large_slice_is_read_by_many_tasks(spark, tmp_path):
+    """Each slice has as many files as the largest one needs, small ones too, so a trigger is still one slice."""
+    sizes = {0: 900, 1: 2, 2: 350}
+    events = spark.createDataFrame([(k, at) for k, size in sizes.items() for at in range(size)], "slice long, at long")
+    place = str(tmp_path / "files")
+    assert write_even_slices(events, place, "slice", staged=str(tmp_path / "staged"), most_rows=100) == 9
+    parts = [f"{place}/{name}" for name in os.listdir(place) if name.startswith("part")]
+    parts.sort(key=lambda part: os.stat(part).st_mtime_ns)
+    counts = [spark.read.schema("at long").parquet(part).count() for part in parts]
+    assert [sum(counts[first : first + 9]) for first in (0, 9, 18)] == list(sizes.values())
+    assert len(parts) == 27 and max(counts) < 200
+
+    stream = spark.readStream.schema("at long").option("maxFilesPerTrigger", 9).parquet(place)
+    seen = {}
+    writer = stream.writeStream.foreachBatch(lambda rows, batch: seen.update({batch: rows.count()}))
+    writer.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+    assert seen == sizes
+
+    several = str(tmp_path / "several")
+    list(add_slices(events, several, "slice", staged=str(tmp_path / "staged again"), most_rows=300))
+    assert sum(name.startswith("part") for name in os.listdir(several)) == 3 + 1 + 2
+
+
 def test_counts_are_added_once_for_each_batch(spark, rows, tmp_path):
     table = VersionedTable(str(tmp_path / "counts"), rows(a=1).schema, ["k"], merge="sum")
     for batch in range(5):
