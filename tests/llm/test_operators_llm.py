@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_fixtures import awkward, llm, make_docs, no_docs, words  # noqa: F401
 
@@ -407,3 +408,25 @@ def test_noisy_or_against_plain_loops():
             clean *= 1 - 1 / (1 + math.exp(-float(model.sentence_logits(sentence)[0])))
         assert model.score(text) == pytest.approx(1 - clean, abs=1e-9)
     assert model.score(labelled[0][0]) > model.score(labelled[1][0])
+
+
+def test_pieces_shuffle_numbers_and_no_texts(make_docs):
+    """What is dealt out is a fraction of the texts, from which the units come back in order."""
+    given = [" ".join(f"word{k % 97} thing{k % 89}" for k in range(at, at + 400)) for at in range(50)]
+    given += [None, "", " ", " two  blanks ", "日本 ▁é", "\n\t"]
+    packed = pieces._numbered(MODEL, pa.chunked_array([given]), 4)
+    assert sum(map(len, packed)) < sum(len(text or "") for text in given) / 4
+    posted, starts, numbers = map(pieces._unpacked, packed)
+    begins = np.frombuffer(starts, np.int64)
+    assert len(begins) == 5 and begins[0] == 0 and begins[-1] == len(posted)
+    units = posted.decode().split(" ")[:-1]
+    reply = b"".join((at + pieces._LAST).to_bytes(3, "big") for at in range(len(units)))
+    ids, sizes = pieces._ids_of(numbers, reply)
+    ends = np.cumsum(sizes).tolist()
+    for text, start, end in zip(given, [0, *ends], ends, strict=False):
+        shown = ("▁" + text.replace(" ", "▁")) if text else ""
+        assert "".join(units[at] for at in ids[start:end]) == shown
+
+    plan = str(pieces.encode(make_docs(*given), MODEL)._jdf.queryExecution().executedPlan()).splitlines()
+    dealt = [below for line, below in zip(plan, plan[1:], strict=False) if "Exchange" in line]
+    assert dealt and not any("text" in line and "MapInArrow" not in line for line in dealt)
