@@ -29,7 +29,7 @@ LATTICE_CHARS = 60
 NO_PIECE = (1 << 21) - 1
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Characters of the texts that are numbered together.
-SLAB_CHARS = 16 << 20
+SLAB_CHARS = 6 << 20
 # In a reply an id takes three bytes; this bit marks the last one of a unit.
 _LAST = 1 << 23
 IDS_AT_ONCE = 200_000
@@ -228,7 +228,7 @@ def encode(
     """``doc_id, ids`` of every whole text, with a struct ``kept`` of the columns named in ``keep``.
 
     ``model`` is the path of a model file that each executor has. Where they
-    are read, texts become slabs of some 16 MB: the distinct units of a slab,
+    are read, texts become slabs of some 6 MB: the distinct units of a slab,
     and of each text the numbers of its words. Texts themselves are not
     shuffled. A slab posts its units to buckets; each distinct unit of all is
     encoded once, and a bucket answers a slab by the ids of its units in the
