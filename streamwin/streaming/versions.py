@@ -109,7 +109,9 @@ class VersionedTable:
     def _commit(self, spark, batch: int, snapshot: int | None, before_commit: Callable[[int], None] | None) -> None:
         if before_commit is not None:
             before_commit(batch)
-        commit = spark.createDataFrame([(batch, snapshot)], _COMMIT).coalesce(1)
+        commit = spark.range(0, 1, 1, 1).select(
+            F.lit(batch).cast("long").alias("batch"), F.lit(snapshot).cast("long").alias("snapshot")
+        )
         commit.write.mode("overwrite").parquet(f"{self.root}/commits/batch={batch}")
 
     def forget(self, spark: SparkSession, keep: int = 2) -> int:

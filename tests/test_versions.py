@@ -131,6 +131,40 @@ def test_a_large_slice_is_read_by_many_tasks(spark, tmp_path):
     assert sum(name.startswith("part") for name in os.listdir(several)) == 3 + 1 + 2
 
 
+def in_order(folder):
+    """The files of rows below a folder by their times, those of one time together."""
+    parts = [f"{folder}/{name}" for name in os.listdir(folder) if name.startswith("part")]
+    times = sorted({os.stat(part).st_mtime_ns for part in parts})
+    return [[part for part in parts if os.stat(part).st_mtime_ns == moment] for moment in times]
+
+
+def test_rows_of_a_replay_are_written_once(spark, tmp_path):
+    """The jobs of a replay do not grow with its slices, and a second one is newer than the first."""
+    place, jobs = str(tmp_path / "files"), []
+    for call, slices in enumerate((2, 9)):
+        events = spark.range(180).select((F.col("id") % slices + 10 * call).alias("slice"), F.col("id").alias("at"))
+        spark.sparkContext.setJobGroup(f"replay-{call}", "")
+        assert write_even_slices(events, place, "slice", staged=str(tmp_path / f"staged {call}"), most_rows=1000) == 1
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"replay-{call}")))
+    spark.sparkContext.setJobGroup("after", "")
+    assert jobs[0] == jobs[1] > 0
+    read = spark.read.schema("at long")
+    sizes = [[row["at"] for row in read.parquet(*parts).orderBy("at").collect()] for parts in in_order(place)]
+    assert sizes == [list(range(n, 180, s)) for s in (2, 9) for n in range(s)]
+
+
+def test_a_replay_where_the_store_sets_file_times(spark, tmp_path, monkeypatch):
+    """Slices are then written one after the other, each in its files."""
+    monkeypatch.setattr("streamwin.streaming.replay._moved", lambda *given: False)
+    sizes = {0: 500, 1: 2, 2: 250}
+    events = spark.createDataFrame([(k, at) for k, size in sizes.items() for at in range(size)], "slice long, at long")
+    place = str(tmp_path / "files")
+    assert write_even_slices(events, place, "slice", staged=str(tmp_path / "staged"), most_rows=100) == 5
+    parts = [part for some in in_order(place) for part in some]
+    counts = [spark.read.schema("at long").parquet(part).count() for part in parts]
+    assert [sum(counts[first : first + 5]) for first in (0, 5, 10)] == list(sizes.values()) and len(parts) == 15
+
+
 def test_counts_are_added_once_for_each_batch(spark, rows, tmp_path):
     table = VersionedTable(str(tmp_path / "counts"), rows(a=1).schema, ["k"], merge="sum")
     for batch in range(5):
